@@ -75,7 +75,8 @@ def one_hot(column: str) -> Column:
 def feature_vector(roles: Roles) -> Column:
     """One-hot blocks first, then imputed numerics; nothing else passes.
 
-    A column without any value in the fit has no median; it becomes constant 0.
+    A column without any value in the fit has no median; it becomes constant 0. A
+    group the encoder was never fitted on has no features at all.
     """
     numerics = [
         F.coalesce(F.col(c).cast("double"), F.get("medians", F.lit(i)), F.lit(0.0))
@@ -84,7 +85,7 @@ def feature_vector(roles: Roles) -> Column:
     blocks = [one_hot(c) for c in roles.categorical]
     if numerics:
         blocks.append(F.array(*numerics))
-    return F.concat(*blocks)
+    return F.coalesce(F.concat(*blocks), F.array().cast("array<double>"))
 
 
 def encode(
