@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortfit.functions.hashing import hash01
-from cohortfit.operators.groups import TASK_ROWS, Sizes, attach, measure
-from cohortfit.operators.quantiles import group_medians
+from cohortfit.operators.groups import Sizes, attach, measure
+from cohortfit.operators.quantiles import BUFFER_CELLS, group_medians
 from cohortfit.schemas import Roles
 
 # Fixed value: the text that stands for a missing category.
@@ -33,7 +33,7 @@ def encoder_stats(
     roles: Roles,
     *,
     sizes: Sizes | None = None,
-    task_rows: int = TASK_ROWS,
+    cells: int = BUFFER_CELLS,
 ) -> DataFrame:
     """One row per group: medians of the numerics and sorted categories.
 
@@ -49,7 +49,7 @@ def encoder_stats(
     )
     if not roles.numeric:
         return cats.withColumn("medians", F.array().cast("array<double>"))
-    medians = group_medians(df, g, list(roles.numeric), sizes=sizes, task_rows=task_rows)
+    medians = group_medians(df, g, list(roles.numeric), sizes=sizes, cells=cells)
     medians = medians.select(
         g, F.array(*[F.col(c).cast("double") for c in roles.numeric]).alias("medians")
     )

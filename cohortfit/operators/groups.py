@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 64 << 20
 # Rows one task may hold or sort for one group.
 TASK_ROWS = 2_000_000
+# Rows of one group that one Python task may hold and fit.
+FIT_ROWS = 500_000
 MAX_BUCKETS = 4096
 
 

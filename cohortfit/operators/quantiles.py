@@ -8,9 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cohortfit.operators.groups import TASK_ROWS, Sizes, attach, measure
+from cohortfit.operators.groups import Sizes, attach, measure
 from cohortfit.session import materialize
 
+# Cells (rows times columns) of one group that may sit in one aggregation buffer;
+# a task holds the buffers of up to 128 groups before it falls back to sorting.
+BUFFER_CELLS = 200_000
+
 
 def group_quantiles(
     df: DataFrame,
@@ -19,7 +23,7 @@ def group_quantiles(
     probs: list[float],
     *,
     sizes: Sizes | None = None,
-    task_rows: int = TASK_ROWS,
+    cells: int = BUFFER_CELLS,
 ) -> DataFrame:
     """One row per group; each column becomes an array with one value per prob.
 
@@ -29,12 +33,13 @@ def group_quantiles(
     """
     sizes = sizes or measure(df, group)
     df = df.select(group, *columns)
-    if sizes.largest <= task_rows:
+    limit = max(1, cells // max(1, len(columns)))
+    if sizes.largest <= limit:
         return _one_pass(df, group, columns, probs)
     counts = df.groupBy(group).agg(F.count("*").alias("_n"))
     marked = attach(df, counts, [group], stats_rows=sizes.groups, row_bytes=64)
-    small = marked.where(F.col("_n") <= task_rows).drop("_n")
-    hot = marked.where(F.col("_n") > task_rows).drop("_n")
+    small = marked.where(F.col("_n") <= limit).drop("_n")
+    hot = marked.where(F.col("_n") > limit).drop("_n")
     return _one_pass(small, group, columns, probs).unionByName(
         _bracketed(hot, group, columns, probs, sizes)
     )
@@ -159,7 +164,7 @@ def _bracketed(
 
 def _array_or_null(q):
     """Values by slot; NULL instead of an array when the column has no values at all."""
-    values = F.transform(F.array_sort(F.collect_list(q)), lambda s: s["value"])
+    values = F.transform(F.sort_array(F.collect_list(q)), lambda s: s["value"])
     return F.when(F.exists(values, lambda v: v.isNotNull()), values)
 
 
@@ -198,11 +203,11 @@ def quartile_bins(
     name: str,
     *,
     sizes: Sizes | None = None,
-    task_rows: int = TASK_ROWS,
+    cells: int = BUFFER_CELLS,
 ) -> DataFrame:
     """Add the per-group quartile code 0..3 of ``column`` (bins closed on the right)."""
     sizes = sizes or measure(df, group)
-    cuts = group_quantiles(df, group, [column], [0.25, 0.5, 0.75], sizes=sizes, task_rows=task_rows)
+    cuts = group_quantiles(df, group, [column], [0.25, 0.5, 0.75], sizes=sizes, cells=cells)
     joined = attach(
         df,
         cuts.withColumnRenamed(column, "_cuts"),
@@ -226,8 +231,8 @@ def group_medians(
     columns: list[str],
     *,
     sizes: Sizes | None = None,
-    task_rows: int = TASK_ROWS,
+    cells: int = BUFFER_CELLS,
 ) -> DataFrame:
     """Exact median of each column per group."""
-    halves = group_quantiles(df, group, columns, [0.5], sizes=sizes, task_rows=task_rows)
+    halves = group_quantiles(df, group, columns, [0.5], sizes=sizes, cells=cells)
     return halves.select(group, *[F.get(F.col(c), F.lit(0)).alias(c) for c in columns])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -11,7 +13,9 @@ from cohortfit.operators.groups import TASK_ROWS, Sizes, attach, measure
 
 TEST_SHARE = 0.33
 SPLIT_SEED = 123
-PREFIX_DIGITS = 5
+# Above this many rows in all, comparing with a cut beats shuffling every row.
+SHUFFLE_ROWS = 100_000_000
+EDGE_ROWS = 1_000_000
 
 
 def train_test_split(
@@ -24,17 +28,19 @@ def train_test_split(
     name: str = "split",
     sizes: Sizes | None = None,
     task_rows: int = TASK_ROWS,
+    shuffle_rows: int = SHUFFLE_ROWS,
 ) -> DataFrame:
     """Mark ceil(share * n) rows of each group 'test', in order of a seeded hash.
 
     The order is total (hash, then id), so the marks depend neither on the row
-    order nor on the partitioning. Hot groups are not ranked row by row: counts
-    per hash prefix locate the cut, only the rows sharing that prefix are ranked,
-    and every row is then compared with the cut. The data itself never shuffles.
+    order nor on the partitioning. Small tables are ranked by one window. With hot
+    groups or very many rows nothing is ranked row by row: counts per hash prefix
+    locate the cut, only the rows sharing that prefix are ranked, and every row is
+    then compared with the cut. The data itself never shuffles.
     """
     sizes = sizes or measure(df, group)
     hashed = df.withColumn("_h", digest(seed, F.col(id_col)))
-    if sizes.largest <= task_rows:
+    if sizes.largest <= task_rows and sizes.rows <= shuffle_rows:
         order = W.partitionBy(group).orderBy("_h", id_col)
         place = F.row_number().over(order)
         size = F.count("*").over(W.partitionBy(group))
@@ -42,7 +48,9 @@ def train_test_split(
             name, F.when(place <= F.ceil(size * F.lit(test_share)), "test").otherwise("train")
         ).drop("_h")
 
-    keyed = hashed.withColumn("_p", F.substring("_h", 1, PREFIX_DIGITS))
+    # As many digits as leave a bounded number of rows to rank next to the cut.
+    digits = max(1, math.ceil(math.log(max(1.0, sizes.largest / min(task_rows, EDGE_ROWS)), 16)))
+    keyed = hashed.withColumn("_p", F.substring("_h", 1, digits))
     per_prefix = keyed.groupBy(group, "_p").agg(F.count("*").alias("c"))
     upto = W.partitionBy(group).orderBy("_p").rowsBetween(W.unboundedPreceding, 0)
     located = per_prefix.select(

@@ -213,11 +213,8 @@ def trial_losses(spark, folder):
 
 def _doc_rows(spark, folder):
     """Documents encoded on train rows, in the shape tree growth reads."""
-    marked = train_test_split(documents_view(spark, folder), "lang", "doc_id")
-    roles = DOC_ROLES.with_(categorical=())
-    sizes = measure(marked, "lang")
-    stats = encoder_stats(marked.where(F.col("split") == "train"), roles, sizes=sizes)
-    return encode(marked, stats, roles, groups=sizes.groups, keep=["doc_id", "quality", "split"]), sizes
+    ready = prepare(documents_view(spark, folder), DOC_ROLES.with_(categorical=()))
+    return ready.encoded, ready.sizes
 
 
 def _tree_rows(encoded):

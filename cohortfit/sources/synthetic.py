@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from cohortfit.functions.hashing import hash01
 from cohortfit.operators.encode import inject_missing
-from cohortfit.operators.groups import TASK_ROWS, Sizes
-from cohortfit.operators.quantiles import quartile_bins
+from cohortfit.operators.groups import Sizes
+from cohortfit.operators.quantiles import BUFFER_CELLS, quartile_bins
 
 # Workload of the default feature table.
 N_GROUPS = 10
@@ -106,7 +106,7 @@ def feature_table(
     group: str = "group_name",
     id_col: str = "id",
     sizes: Sizes | None = None,
-    task_rows: int = TASK_ROWS,
+    cells: int = BUFFER_CELLS,
     missing_share: float = MISSING_SHARE,
     **shape,
 ) -> DataFrame:
@@ -114,7 +114,7 @@ def feature_table(
     go missing at random, columns end up as group, label, categories, numerics, id."""
     raw = raw_features(rows, seed, group=group, id_col=id_col, **shape)
     numerics = [c for c in raw.columns if c.startswith("numeric_feature_")]
-    binned = quartile_bins(raw, group, numerics[0], "categorical_feature_01", sizes=sizes, task_rows=task_rows)
+    binned = quartile_bins(raw, group, numerics[0], "categorical_feature_01", sizes=sizes, cells=cells)
     features = ["categorical_feature_01", *numerics[1:]]
     masked = inject_missing(binned.drop(numerics[0]), features, id_col, share=missing_share, seed=seed)
     return masked.select(group, "label", *features, id_col)
