@@ -52,8 +52,8 @@ from cohortfit.plans.train import (
     tune_groups,
 )
 from cohortfit.plans.views import DOC_ROLES, ORD_ROLES, documents_view, events_view, orders_view
-from cohortfit.schemas import METRICS
-from cohortfit.session import shared_dir
+from cohortfit.schemas import METRICS, Roles
+from cohortfit.session import materialize, shared_dir
 from cohortfit.sources import synthetic
 from cohortfit.sources.store import Store
 from cohortfit.sources.tables import metrics_long, model_stats, params_long, read_table
@@ -81,7 +81,7 @@ def group_filter(spark, folder):
 
 
 def synthetic_table(spark, folder) -> DataFrame:
-    rows = orders_view(spark, folder).select(
+    rows = orders_view(spark, folder, heavy=True).select(
         F.col("segment").alias("group_name"), F.col("o_orderkey").alias("id")
     )
     return synthetic.feature_table(rows)
@@ -126,8 +126,6 @@ def median_impute(spark, folder):
     joined = attach(
         marked, medians.select(GROUP, F.array("value").alias("medians")), [GROUP], stats_rows=sizes.groups, row_bytes=64
     )
-    from cohortfit.schemas import Roles
-
     filled = impute(joined, Roles(group=GROUP, numeric=("value",)))
     return filled.select("event_id", GROUP, "split", F.round("value", 6).alias("value"))
 
@@ -145,7 +143,7 @@ def split_counts(spark, folder):
 
 
 def masked_orders(spark, folder):
-    return inject_missing(orders_view(spark, folder), list(ORD_ROLES.features), "o_orderkey")
+    return inject_missing(orders_view(spark, folder, heavy=True), list(ORD_ROLES.features), "o_orderkey")
 
 
 def onehot_train_categories(spark, folder):
@@ -517,9 +515,7 @@ def train_groups_stats(spark, folder):
 
 def train_groups_synthetic(spark, folder):
     """The full feature table generated over the orders, one model per segment."""
-    from cohortfit.schemas import Roles
-
-    table = synthetic_table(spark, folder)
+    table = materialize(synthetic_table(spark, folder), "features")
     return model_stats(train_groups(table, Roles.from_names(table), RUN_FIT), "group_name")
 
 
@@ -533,7 +529,8 @@ def tune_groups_history(spark, folder):
 
 def _project(spark, folder):
     store = Store(spark, f"{shared_dir(spark)}/cohortfit/project-{uuid.uuid4().hex}")
-    docs = documents_view(spark, folder)
+    # The feature table is written once; tuning, refit and scoring read it back.
+    docs = materialize(documents_view(spark, folder), "features")
     run_id = train_run(docs, DOC_ROLES, store, experiment="documents", space=RUN_SPACE, tuning=RUN_TUNING, spec=RUN_FIT)
     return store, run_id, docs
 

@@ -26,7 +26,7 @@ ORD_ROLES = Roles(
 
 def documents_view(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled documents with text statistics; whole texts, measured in the JVM."""
-    docs, labels = read_table(spark, folder, "documents"), read_table(spark, folder, "labels")
+    docs, labels = read_table(spark, folder, "documents", heavy=True), read_table(spark, folder, "labels")
     words = F.split("text", " ")
     chars = F.nullif(F.col("n_chars").cast("double"), F.lit(0.0))
 
@@ -46,8 +46,8 @@ def documents_view(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def orders_view(spark: SparkSession, folder: str) -> DataFrame:
-    orders, customer = read_table(spark, folder, "orders"), read_table(spark, folder, "customer")
+def orders_view(spark: SparkSession, folder: str, *, heavy: bool = False) -> DataFrame:
+    orders, customer = read_table(spark, folder, "orders", heavy=heavy), read_table(spark, folder, "customer")
     joined = orders.join(customer, orders.o_custkey == customer.c_custkey)
     return joined.select(
         "o_orderkey",

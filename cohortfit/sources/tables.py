@@ -9,8 +9,18 @@ from cohortfit.operators.evaluate import metric_columns
 from cohortfit.schemas import METRICS
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def read_table(spark: SparkSession, folder: str, name: str, *, heavy: bool = False) -> DataFrame:
+    """Scan a Parquet table.
+
+    ``heavy`` says that costly per-row expressions follow. Then a table of fewer
+    file splits than cores is spread over them first; a large one has more splits
+    than that and is read as it is.
+    """
+    table = spark.read.parquet(f"{folder}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if heavy and table.rdd.getNumPartitions() < cores:
+        return table.repartition(cores)
+    return table
 
 
 def write_table(
