@@ -42,18 +42,17 @@ def encoder_stats(
     so a collected list is as long as the one-hot block it defines.
     """
     sizes = sizes or measure(df, roles.group)
-    g = roles.group
-    cats = df.groupBy(g).agg(
-        *[F.sort_array(F.collect_set(category_text(c))).alias(f"cats_{c}") for c in roles.categorical],
-        F.count("*").alias("fit_rows"),
+    g, numerics = roles.group, list(roles.numeric)
+    cats = [F.sort_array(F.collect_set(category_text(c))).alias(f"cats_{c}") for c in roles.categorical]
+    cats.append(F.count("*").alias("fit_rows"))
+    if sizes.largest * max(1, len(numerics)) <= cells:
+        medians = F.array(*[F.median(c).cast("double") for c in numerics]).cast("array<double>")
+        return df.groupBy(g).agg(*cats, medians.alias("medians"))
+    found = group_medians(df, g, numerics, sizes=sizes, cells=cells)
+    found = found.select(g, F.array(*[F.col(c).cast("double") for c in numerics]).alias("medians"))
+    return attach(
+        df.groupBy(g).agg(*cats), found, [g], stats_rows=sizes.groups, row_bytes=64 + 8 * len(numerics)
     )
-    if not roles.numeric:
-        return cats.withColumn("medians", F.array().cast("array<double>"))
-    medians = group_medians(df, g, list(roles.numeric), sizes=sizes, cells=cells)
-    medians = medians.select(
-        g, F.array(*[F.col(c).cast("double") for c in roles.numeric]).alias("medians")
-    )
-    return attach(cats, medians, [g], stats_rows=sizes.groups, row_bytes=64 + 8 * len(roles.numeric))
 
 
 def impute(df: DataFrame, roles: Roles) -> DataFrame:

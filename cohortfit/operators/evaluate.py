@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortfit.operators.groups import TASK_ROWS, Sizes, attach, measure, ranked_within
+from cohortfit.operators.groups import TASK_ROWS, Sizes, measure, ranked_within
 
 EXACT = "decimal(38,0)"
 
@@ -49,6 +49,35 @@ def group_weighted_prf(df: DataFrame, group: str, label: str, predicted: str) ->
     return counts.select(group, *[c.alias(n) for n, c in weighted_scores().items()])
 
 
+def class_counts(df: DataFrame, keys: list[str], label: str, score: str) -> DataFrame:
+    """Positives and negatives per distinct score: what every metric here needs.
+
+    One map-side combined aggregate; a hot group is spread over its scores.
+    """
+    positive = (F.col(label) == 1).cast("long")
+    # 0.0 folds a negative zero into a plain one, which some engines sort apart.
+    return (
+        df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+        .groupBy(*keys, (F.col(score).cast("double") + F.lit(0.0)).alias("_s"))
+        .agg(F.sum(positive).alias("_pos"), F.sum(1 - positive).alias("_neg"))
+    )
+
+
+def with_pairs_won(counts: DataFrame, keys: list[str], sizes: Sizes, task_rows: int) -> DataFrame:
+    """Add twice the pairs each score's positives win, ties counted half.
+
+    Whole numbers of any size, so sums do not depend on their order.
+    """
+    ranked = ranked_within(counts, keys, "_s", {"_below": "_neg"}, sizes, task_rows)
+    twice = F.col("_pos").cast("decimal(19,0)") * (2 * F.col("_below") + F.col("_neg")).cast("decimal(19,0)")
+    return ranked.withColumn("_won", twice.cast(EXACT))
+
+
+def auc_from_sums(won: Column, positives: Column, negatives: Column) -> Column:
+    pairs = F.nullif(positives.cast("double") * negatives.cast("double"), F.lit(0.0))
+    return won.cast("double") / (2 * pairs)
+
+
 def group_auc(
     df: DataFrame,
     group: list[str] | str,
@@ -59,28 +88,49 @@ def group_auc(
     sizes: Sizes | None = None,
     task_rows: int = TASK_ROWS,
 ) -> DataFrame:
-    """Exact ROC AUC per group, ties counted half; NULL when a class is absent.
+    """Exact ROC AUC per group; NULL when a class is absent.
 
-    Rows are first reduced to class counts per distinct score (map-side), then
-    each score's positives meet the negatives below it. The pair count is kept in
-    whole numbers, so the result does not depend on the order of summation.
+    Rows are reduced to class counts per distinct score, then each score's
+    positives meet the negatives below it.
     """
     group = [group] if isinstance(group, str) else list(group)
     sizes = sizes or measure(df, *group)
-    positive = (F.col(label) == 1).cast("long")
-    # 0.0 folds a negative zero into a plain one, which some engines sort apart.
-    per_score = (
-        df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-        .groupBy(*group, (F.col(score).cast("double") + F.lit(0.0)).alias("_s"))
-        .agg(F.sum(positive).alias("_pos"), F.sum(1 - positive).alias("_neg"))
-    )
-    ranked = ranked_within(per_score, group, "_s", {"_below": "_neg"}, sizes, task_rows)
-    twice = F.col("_pos").cast("decimal(19,0)") * (2 * F.col("_below") + F.col("_neg")).cast("decimal(19,0)")
-    sums = ranked.groupBy(*group).agg(
-        F.sum(twice.cast(EXACT)).alias("_u"), F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n")
-    )
-    pairs = F.nullif(F.col("_p").cast("double") * F.col("_n").cast("double"), F.lit(0.0))
-    return sums.select(*group, (F.col("_u").cast("double") / (2 * pairs)).alias(name))
+    ranked = with_pairs_won(class_counts(df, group, label, score), group, sizes, task_rows)
+    sums = ranked.groupBy(*group).agg(*[F.sum(c).alias(c) for c in ("_won", "_pos", "_neg")])
+    return sums.select(*group, auc_from_sums(F.col("_won"), F.col("_pos"), F.col("_neg")).alias(name))
+
+
+def split_counts(
+    df: DataFrame,
+    keys: list[str],
+    label: str,
+    score: str,
+    split: str,
+    *,
+    threshold: float = 0.5,
+    sizes: Sizes,
+    task_rows: int = TASK_ROWS,
+) -> DataFrame:
+    """Confusion counts and AUC per key for the train and test rows, in one pass.
+
+    The counts at ``threshold`` come out of the same per-score table as the AUC.
+    """
+    ranked = with_pairs_won(class_counts(df, [*keys, split], label, score), [*keys, split], sizes, task_rows)
+    high = F.col("_s") > threshold
+    columns = []
+    for side in ("train", "test"):
+        def total(value, where=None, side=side):
+            here = F.col(split) == side
+            return F.coalesce(F.sum(F.when(here if where is None else here & where, F.col(value))), F.lit(0))
+
+        columns += [
+            total("_pos", high).alias(f"{side}_tp"),
+            total("_neg", high).alias(f"{side}_fp"),
+            total("_neg", ~high).alias(f"{side}_tn"),
+            total("_pos", ~high).alias(f"{side}_fn"),
+            auc_from_sums(total("_won"), total("_pos"), total("_neg")).alias(f"{side}_auc"),
+        ]
+    return ranked.groupBy(*keys).agg(*columns)
 
 
 def metric_columns(digits: int = 3) -> list[Column]:
@@ -105,20 +155,8 @@ def metric_row(
 ) -> DataFrame:
     """Eight metrics and the loss per group from scored rows marked train/test."""
     sizes = sizes or measure(df, group)
-    predicted = hard_class(F.col(score))
-    counts = df.groupBy(group).agg(
-        *[
-            c
-            for s in ("train", "test")
-            for c in confusion(F.col(label), predicted, f"{s}_", F.col(split) == s)
-        ]
-    )
-    both = group_auc(df, [group, split], label, score, sizes=sizes, task_rows=task_rows)
-    aucs = both.groupBy(group).agg(
-        *[F.max(F.when(F.col(split) == s, F.col("auc"))).alias(f"{s}_auc") for s in ("train", "test")]
-    )
-    joined = attach(counts, aucs, [group], stats_rows=sizes.groups, row_bytes=64)
-    return joined.select(group, *metric_columns(), trial_loss(F.col("test_auc")).alias("loss"))
+    found = split_counts(df, [group], label, score, split, sizes=sizes, task_rows=task_rows)
+    return found.select(group, *metric_columns(), trial_loss(F.col("test_auc")).alias("loss"))
 
 
 def trial_loss(auc: Column) -> Column:

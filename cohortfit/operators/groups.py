@@ -52,14 +52,14 @@ def attach(
     row_bytes: int,
     how: str = "left",
     broadcast_bytes: int | None = None,
-    salts: int = 64,
+    hot_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Join one row of ``stats`` per key to every row of ``df``.
 
     ``stats`` is broadcast only while its size, bounded by ``stats_rows`` times
     ``row_bytes``, stays under the limit; then ``df`` is not shuffled at all.
-    Above it both sides shuffle on the key plus a salt, which spreads a hot key
-    over ``salts`` tasks.
+    Above it both sides shuffle on the key, and a key with more than ``hot_rows``
+    rows is salted over as many tasks as it needs. Other keys get no copies.
     """
     limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
     renamed = stats.select(
@@ -70,12 +70,30 @@ def attach(
         small = F.broadcast(renamed)
         joined = df.join(small, same(df, small, keys), how)
         return joined.drop(*[b for _, b in keys])
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
-    copies = renamed.withColumn("_on_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    joined = salted.join(copies, same(salted, copies, keys + [("_salt", "_on_salt")]), how)
+    # At most one hot key per hot_rows rows of the table, so this list stays small.
+    hot = (
+        df.groupBy(*[F.col(k).alias(f"_hot_{k}") for k in on])
+        .agg(F.count("*").alias("_n"))
+        .where(F.col("_n") > hot_rows)
+        .withColumn("_parts", F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int"))
+        .drop("_n")
+    )
+    hot = F.broadcast(hot)
+    parts = F.coalesce("_parts", F.lit(1))
+    names = [f"_hot_{k}" for k in on]
+    spread = F.pmod(F.xxhash64(*_hashable(df)), parts).cast("int")
+    salted = df.join(hot, same(df, hot, [(k, f"_hot_{k}") for k in on]), "left")
+    salted = salted.withColumn("_salt", spread).drop("_parts", *names)
+    copies = renamed.join(hot, same(renamed, hot, [(f"_on_{k}", f"_hot_{k}") for k in on]), "left")
+    copies = copies.withColumn("_on_salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts", *names)
+    joined = salted.join(copies, same(salted, copies, [*keys, ("_salt", "_on_salt")]), how)
     return joined.drop("_salt", "_on_salt", *[b for _, b in keys])
 
 
+def _hashable(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+
+
 def meet(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
     """Null-safe equi-join of two summary tables; the engine picks the strategy."""
     renamed = right.select(*[F.col(k).alias(f"_on_{k}") for k in on], *[c for c in right.columns if c not in on])
@@ -135,6 +153,8 @@ def ranked_within(
         return df.select(
             "*", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(n) for n, c in weights.items()]
         )
+    # Read three times below, and sketches must not differ between the reads.
+    df = materialize(df, "to-rank")
     cuts = materialize(bucket_cuts(df, group, value, sizes, task_rows), "cuts")
     parts = MAX_BUCKETS
     spread = attach(df, cuts, group, stats_rows=sizes.groups, row_bytes=64 + 8 * parts)

@@ -110,7 +110,7 @@ def test_ranked_within_is_the_same_on_both_paths(df):
 def test_attach_gives_the_same_rows_broadcast_or_salted(df):
     stats = df.groupBy("g").agg(F.max("z").alias("top"))
     small = attach(df, stats, ["g"], stats_rows=5, row_bytes=16)
-    salted = attach(df, stats, ["g"], stats_rows=5, row_bytes=16, broadcast_bytes=0)
+    salted = attach(df, stats, ["g"], stats_rows=5, row_bytes=16, broadcast_bytes=0, hot_rows=500)
     assert "BroadcastExchange" in small._jdf.queryExecution().executedPlan().toString()
     assert small.count() == salted.count() == df.count()
     assert sorted(map(str, small.collect())) == sorted(map(str, salted.collect()))
