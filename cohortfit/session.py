@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +31,9 @@ def local_session(cpus: int = 8, app: str = "cohortfit", **conf) -> SparkSession
     return spark
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster.
 
@@ -39,9 +44,10 @@ def shared_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="cohortfit-")
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="cohortfit-")
+    return _local_folders[application]
 
 
 @dataclass(frozen=True)
@@ -66,7 +72,27 @@ def save(df: DataFrame, name: str) -> Saved:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cohortfit/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return Saved(spark.read.schema(df.schema).parquet(path), path)
+    saved = Saved(spark.read.schema(df.schema).parquet(path), path)
+    if _open_scratch:
+        _open_scratch[-1].append(saved)
+    return saved
+
+
+_open_scratch: list[list[Saved]] = []
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Free every frame saved inside the block when it ends.
+
+    For flows that write their results to tables of their own before they return.
+    """
+    _open_scratch.append([])
+    try:
+        yield
+    finally:
+        for saved in _open_scratch.pop():
+            saved.drop()
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cohortfit.functions.hashing import hash01
@@ -39,8 +40,6 @@ def name_groups(df: DataFrame, key: str) -> DataFrame:
 
     The distinct keys are the summary of a table; only they are ordered.
     """
-    from pyspark.sql import Window as W
-
     keys = df.select(key).distinct()
     return keys.select(
         key, F.format_string("group_%02d", F.row_number().over(W.orderBy(key))).alias("group_name")
@@ -48,11 +47,15 @@ def name_groups(df: DataFrame, key: str) -> DataFrame:
 
 
 def base_rows(groups: DataFrame, rows_per_group: int = ROWS_PER_GROUP) -> DataFrame:
-    """Row numbers for every group; ``id`` is unique over all of them."""
-    numbered = groups.select(
-        "group_name", F.explode(F.sequence(F.lit(0), F.lit(rows_per_group - 1))).alias("row")
+    """Row numbers for every group; ``id`` is unique over all of them.
+
+    Only the list of groups is numbered as a whole, never the rows.
+    """
+    place = (F.row_number().over(W.orderBy("group_name")) - 1).cast("bigint")
+    numbered = groups.select("group_name", place.alias("_n")).withColumn(
+        "row", F.explode(F.sequence(F.lit(0), F.lit(rows_per_group - 1)))
     )
-    return numbered.select("group_name", F.xxhash64("group_name", "row").alias("id"))
+    return numbered.select("group_name", (F.col("_n") * rows_per_group + F.col("row")).alias("id"))
 
 
 def unflipped_class(seed: int, group: Column, row: Column) -> Column:

@@ -36,6 +36,14 @@ def write_table(
     return df.sparkSession.table(name)
 
 
+def with_row_ids(df: DataFrame, name: str = "id") -> DataFrame:
+    """A unique 64-bit number per row for tables without a key.
+
+    The numbers depend on the partitioning: write the table before using it twice.
+    """
+    return df.withColumn(name, F.monotonically_increasing_id())
+
+
 def params_long(df: DataFrame, group: str, params: str = "params") -> DataFrame:
     """``group, parameter, value`` from a params map."""
     return df.select(group, F.explode(params).alias("parameter", "value"))
