@@ -35,6 +35,9 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: Characters after which a long text is cut at the next safe place.
 PIECE = 100_000
 
+#: Rows that a worker turns into Python objects at a time.
+ROWS = 256
+
 _SAFE = re.compile(r"(?<=[^\W_]) (?=[^\W_])")
 
 
@@ -62,6 +65,11 @@ def encode_text(encoder: tiktoken.Encoding, text: str, size: int = PIECE) -> lis
     return [i for piece in pieces(text, size) for i in encoder.encode_ordinary(piece)]
 
 
+def _lists(ids: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int32), *ids])))
+
+
 def encode(text: Column, ranks: str = RANKS, pattern: str = public_tokenizers.PATTERN) -> Column:
     """``array<int>`` of token ids."""
 
@@ -69,10 +77,11 @@ def encode(text: Column, ranks: str = RANKS, pattern: str = public_tokenizers.PA
     def bpe_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = encoding(ranks, pattern)
         for batch in batches:
-            ids = [np.array(encode_text(encoder, t or ""), np.int32) for t in batch.to_pylist()]
-            ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-            flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
-            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+            lists = [_lists([])]
+            for k in range(0, len(batch), ROWS):  # few texts and ids as Python objects at a time
+                texts = batch.slice(k, ROWS).to_pylist()
+                lists.append(_lists([np.array(encode_text(encoder, t or ""), np.int32) for t in texts]))
+            yield pa.concat_arrays(lists)
 
     return bpe_ids(text)
 
@@ -84,10 +93,10 @@ def decode(ids: Column, ranks: str = RANKS, pattern: str = public_tokenizers.PAT
     def bpe_bytes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = encoding(ranks, pattern)
         for batch in batches:
-            flat, ends = batch.flatten().to_numpy(zero_copy_only=False), batch.offsets.to_numpy()
-            ends = ends - ends[0] if len(ends) else ends
-            yield pa.array(
-                [encoder.decode_bytes(flat[a:b].tolist()) for a, b in zip(ends, ends[1:])], pa.binary()
-            )
+            texts = [pa.array([], pa.binary())]
+            for k in range(0, len(batch), ROWS):
+                lists = batch.slice(k, ROWS).to_pylist()
+                texts.append(pa.array([encoder.decode_bytes(ids) for ids in lists], pa.binary()))
+            yield pa.concat_arrays(texts)
 
     return bpe_bytes(F.coalesce(ids, F.array().cast("array<int>")))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortfit.llm import byte_bpe, exact_index, langid, token_frames, toxicity
+from cohortfit.llm import byte_bpe, exact_index, jaccard, langid, mixing, pii, token_frames, toxicity
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -29,6 +29,21 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.detect(documents(spark, folder))
+    counts = [pii.count_of(F.col("base"), k).alias(f"n_{k}") for k in pii.KINDS]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"),
+        pii.joined(F.col("spans")).alias("spans"),
+    )
+
+
+def op4_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(documents(spark, folder))
+
+
 def op5_token_frames(spark: SparkSession, folder: str) -> DataFrame:
     manifest = token_frames.write_tokens(documents(spark, folder))
     return token_frames.read_tokens(manifest).select(
@@ -47,6 +62,16 @@ def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def mix_columns() -> dict[str, Column]:
+    topic = mixing.text_form(F.coalesce(F.col("text"), F.lit("")))
+    return {"source": F.col("source"), "lang": F.col("lang"), "topic": topic}
+
+
+def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(documents(spark, folder), mix_columns())
+    return mixed.withColumns({"factor": F.round("factor", 6), "p": F.round("p", 6)})
+
+
 def op9_langid(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
@@ -68,9 +93,32 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_toxicity, op5_token_frames, op7_byte_bpe, op9_langid, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op2_toxicity, op3_pii, op4_ngram_jaccard, op5_token_frames, op7_byte_bpe, op8_mixing, op9_langid, op10_exact_dedup)}
 
 ORACLES = {
+    "op4_ngram_jaccard": """
+        with recursive lowered as (
+            select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\x09-\\x0D]+'), lambda w: w <> '') as w
+            from documents where doc_id is not null
+        ), shingles as (
+            select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+                else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as s
+            from lowered
+        ), sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+        met as (
+            select a.doc_id as a, b.doc_id as b, count(*) as i
+            from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by all
+        ), links as (
+            select a, b from met join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+            where 100 * i >= 75 * (x.n + y.n - i)
+        ), edges as (select a, b from links union all select b, a from links),
+        reach as (
+            select doc_id as node, doc_id as least from lowered
+            union select b, least from reach join edges on a = node
+        )
+        select l.doc_id, coalesce(any_value(n), 0)::bigint as n_shingles, min(least) as component_id
+        from lowered l left join sizes s on s.doc_id = l.doc_id join reach on node = l.doc_id group by l.doc_id""",
     "op10_exact_dedup": """
         with d as (select distinct doc_id, sha256(coalesce(text, '')) as text_sha256 from documents where doc_id is not null)
         select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,
