@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortfit.llm import byte_bpe, exact_index, jaccard, langid, mixing, pii, token_frames, toxicity
+from cohortfit.llm import byte_bpe, exact_index, jaccard, langid, mixing, mtree, pii, token_frames, toxicity
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -51,6 +51,11 @@ def op5_token_frames(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_mtree_topk(spark: SparkSession, folder: str) -> DataFrame:
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet")
+    return mtree.top_k(rows, F.col("vec_id") % 100 == 0)
+
+
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     encoded = documents(spark, folder).select("doc_id", byte_bpe.encode(F.col("text")).alias("ids"))
     decoded = encoded.select("doc_id", "ids", byte_bpe.decode(F.col("ids")).alias("bytes"))
@@ -93,7 +98,7 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_toxicity, op3_pii, op4_ngram_jaccard, op5_token_frames, op7_byte_bpe, op8_mixing, op9_langid, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op2_toxicity, op3_pii, op4_ngram_jaccard, op5_token_frames, op6_mtree_topk, op7_byte_bpe, op8_mixing, op9_langid, op10_exact_dedup)}
 
 ORACLES = {
     "op4_ngram_jaccard": """
@@ -119,6 +124,18 @@ ORACLES = {
         )
         select l.doc_id, coalesce(any_value(n), 0)::bigint as n_shingles, min(least) as component_id
         from lowered l left join sizes s on s.doc_id = l.doc_id join reach on node = l.doc_id group by l.doc_id""",
+    "op6_mtree_topk": """
+        with v as (
+            select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as x from embeddings
+            where len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ), scored as (
+            select q.vec_id as query_id, v.vec_id, list_dot_product(q.x, v.x)::bigint as score
+            from v q join v on q.vec_id % 100 = 0 and q.vec_id <> v.vec_id
+        ), ranked as (
+            select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank,
+                   vec_id, score from scored
+        )
+        select * from ranked where rank <= 10""",
     "op10_exact_dedup": """
         with d as (select distinct doc_id, sha256(coalesce(text, '')) as text_sha256 from documents where doc_id is not null)
         select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,
