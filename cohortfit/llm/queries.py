@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortfit.llm import byte_bpe, exact_index, jaccard, langid, mixing, mtree, pii, token_frames, toxicity
+from cohortfit.llm import byte_bpe, exact_index, jaccard, langid, mixing, mtree, pii, suffixes, token_frames, toxicity
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffixes.repeated_passages(documents(spark, folder))
+    return found.withColumn("spans", suffixes.joined(F.col("spans")))
+
+
 def toxicity_chain(spark: SparkSession, docs: DataFrame, folder: str) -> toxicity.Chain:
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     labels = labels.select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
@@ -98,7 +103,7 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_toxicity, op3_pii, op4_ngram_jaccard, op5_token_frames, op6_mtree_topk, op7_byte_bpe, op8_mixing, op9_langid, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_toxicity, op3_pii, op4_ngram_jaccard, op5_token_frames, op6_mtree_topk, op7_byte_bpe, op8_mixing, op9_langid, op10_exact_dedup)}
 
 ORACLES = {
     "op4_ngram_jaccard": """
