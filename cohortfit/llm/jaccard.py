@@ -16,12 +16,19 @@ Steps, with everything that grows written or shuffled by Spark:
 1. sets: size, digest and short sketch of every document (no shuffle of texts);
 2. chunk keys, packed as numpy blocks, dealt over buckets of keys, sorted there; documents
    with the same set as one before in the same task emit none;
-3. keys met by few documents give all their pairs. Keys met by more give a ring in an
-   order that differs by key, which connects large families by a linear number of pairs;
-4. pairs are filtered by size and sketch, then verified exactly on the sets;
-5. connected components. Then, for the large keys whose members are not all connected,
-   every unconnected member is compared with all others in tiles of bounded size, so that
-   no link is lost.
+3. keys met by few sets give all their pairs, the others ("large" keys, of widespread
+   passages or large families) only their members;
+4. a set that fills f chunks of a band agrees with a linked one in at least f - differ of
+   them. So a pair must have met that often, less the large keys of either set, and a set
+   with fewer large keys than that needs none of them: its links all show elsewhere. That
+   settles widespread passages exactly, with counts alone;
+5. the members left at large keys are joined to one of them, another at every key, which
+   connects large families by a linear number of pairs;
+6. pairs are filtered by size and short sketch, then verified exactly on the sets;
+7. connected components. Then, for the large keys whose members are not all connected,
+   every unconnected member is compared with all others in tiles of bounded size: first
+   its nearest per component, then, among what is still apart, everything. No link that
+   would connect two components is lost.
 
 Defined results: NULL or empty texts (and those of white space only) have no shingles and
 are linked with nothing; a text of fewer words than a shingle has its whole sequence as
@@ -48,14 +55,18 @@ SHINGLE = 5
 #: Link: 100 * intersection >= 75 * union. The sketch bounds below are for this value.
 SIMILARITY = 75
 
-#: Keys met by at most so many sets give all their pairs; larger ones a ring and the tiles of step 5.
-SMALL_GROUP = 24
+#: Keys met by at most so many sets give all their pairs.
+SMALL_GROUP = 6
+#: Partners per component that a member of a large key is compared with first.
+NEAREST = 3
+#: One in so many large keys gives a star; the tiles make up for the others.
+STAR_KEYS = 4
 #: Rows and columns of a tile.
 TILE = 4_096
 #: Bytes of chunk keys that one task sorts.
 BUCKET_BYTES = 32 << 20
 #: Chunk keys a task gathers before it hands them on.
-FLUSH = 1_500_000
+FLUSH = 700_000
 #: Ids that may be broadcast instead of shuffling texts for them.
 BROADCAST_IDS = 500_000
 
@@ -132,35 +143,53 @@ class Sets:
         packed = np.packbits((flips & 1).astype(bool)).tobytes()
         return [packed[a // 8 : b // 8] for a, b in zip(starts[:-1].tolist(), starts[1:].tolist())]
 
-    def keys(self) -> tuple[np.ndarray, np.ndarray]:
-        """Chunk keys of all sets and the set of each key."""
+    def _banded(self) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Per band above 0: its sets, and hashes, set and first place of every filled chunk, in order."""
         sizes = self.sizes
         own, least = bands_of(sizes)
         text = np.repeat(np.arange(len(sizes)), sizes)
-        keys, owners = [], []
         for k in np.unique(np.concatenate([own[sizes > 0], least[sizes > 0]])).tolist():
             member = (sizes > 0) & (least <= k) & (k <= own)
             of_member = member[text]
             hashes, owner = self.hashes[of_member], text[of_member]
             if k == 0:
-                keys.append(mix(hashes))
-                owners.append(owner)
+                yield k, member, hashes, owner, np.arange(len(hashes))
                 continue
-            b = band(k)
-            chunk = ((hashes >> U(32)) * U(b.chunks)) >> U(32)
+            chunk = ((hashes >> U(32)) * U(band(k).chunks)) >> U(32)
             first = np.ones(len(hashes), bool)
             first[1:] = (chunk[1:] != chunk[:-1]) | (owner[1:] != owner[:-1])
-            first = np.flatnonzero(first)
-            parity = np.bitwise_xor.reduceat(hashes, first) if len(first) else hashes
-            place = mix(chunk[first] + U(k << 40))
-            keys.append(mix(parity ^ place))
+            yield k, member, hashes, owner, np.flatnonzero(first)
+
+    def agreement(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The two bands of every set, and the keys it shares at least with a linked one in each."""
+        own, least = bands_of(self.sizes)
+        in_own, in_least = np.zeros(len(own), np.int64), np.zeros(len(own), np.int64)
+        for k, member, _, owner, first in self._banded():
+            if k == 0:
+                shared = -(-3 * self.sizes // 4)
+            else:
+                shared = np.bincount(owner[first], minlength=len(own)) - band(k).differ
+            in_own = np.where(member & (own == k), shared, in_own)
+            in_least = np.where(member & (least == k), shared, in_least)
+        return own, least, in_own, in_least
+
+    def keys(self) -> tuple[np.ndarray, np.ndarray]:
+        """Chunk keys of all sets, with the band in the last six bits, and the set of each key."""
+        keys, owners = [np.empty(0, U)], [np.empty(0, np.int64)]
+        for k, member, hashes, owner, first in self._banded():
+            if k == 0:
+                value = mix(hashes)
+            else:
+                b = band(k)
+                chunk = ((hashes[first] >> U(32)) * U(b.chunks)) >> U(32)
+                parity = np.bitwise_xor.reduceat(hashes, first) if len(first) else hashes
+                value = mix(parity ^ mix(chunk + U(k << 40)))
+                filled = np.bincount(owner[first], minlength=len(member))
+                sparse = np.flatnonzero(member & (filled <= b.differ))
+                keys.append(np.full(len(sparse), (mix(np.array([(k << 40) - 1], U)) & ~U(63)) | U(k)))
+                owners.append(sparse)
+            keys.append((value & ~U(63)) | U(k))
             owners.append(owner[first])
-            filled = np.bincount(owner[first], minlength=len(sizes))
-            sparse = np.flatnonzero(member & (filled <= b.differ))
-            keys.append(np.full(len(sparse), mix(np.array([(k << 40) - 1], U))[0]))
-            owners.append(sparse)
-        if not keys:
-            return np.empty(0, U), np.empty(0, np.int64)
         return np.concatenate(keys), np.concatenate(owners)
 
 
@@ -170,7 +199,8 @@ def _named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def shingle_sets(rows: DataFrame) -> DataFrame:
-    """``doc_id, n, node, check, sketch`` of every row; ``node`` stands for the set."""
+    """Size, digests, sketch and bands of every row; ``node`` stands for the set."""
+    names = ["doc_id", "n", "node", "check", "sketch", "own", "least", "in_own", "in_least"]
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,11 +209,12 @@ def shingle_sets(rows: DataFrame) -> DataFrame:
                 node, check = sets.digests()
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(part.first, len(part)), pa.array(sets.sizes), pa.array(node),
-                     pa.array(check), pa.array(sets.sketches(), pa.binary())],
-                    ["doc_id", "n", "node", "check", "sketch"],
+                     pa.array(check), pa.array(sets.sketches(), pa.binary()), *map(pa.array, sets.agreement())],
+                    names,
                 )
 
-    return rows.mapInArrow(summed, "doc_id long, n long, node long, check long, sketch binary")
+    schema = "doc_id long, n long, node long, check long, sketch binary, own long, least long, in_own long, in_least long"
+    return rows.mapInArrow(summed, schema)
 
 
 def _packed(keys: np.ndarray, owners: np.ndarray, nodes: np.ndarray, buckets: int) -> pa.RecordBatch:
@@ -263,7 +294,8 @@ def _met(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 
 def candidate_pairs(blocks: DataFrame, partitions: int) -> DataFrame:
-    """``key, a, b``: pairs to look at (key NULL), and the members of large keys (b NULL)."""
+    """``key, a, b, times``: pairs with their band as key, and the members ``a`` of large keys (b NULL)."""
+    names = ["key", "a", "b", "times"]
 
     def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = [_unpacked(x) for batch in batches for x in batch.column("block").to_pylist()]
@@ -272,31 +304,55 @@ def candidate_pairs(blocks: DataFrame, partitions: int) -> DataFrame:
         keys, nodes, starts = _met(*(np.concatenate(x) for x in zip(*found)))
         del found
         lengths = np.diff(starts)
-        firsts, seconds = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        rows = [np.empty((0, 3), np.int64)]
         for g in np.unique(lengths[(lengths > 1) & (lengths <= SMALL_GROUP)]).tolist():
-            members = nodes[starts[:-1][lengths == g][:, None] + np.arange(g)]
+            first = starts[:-1][lengths == g]
+            members = nodes[first[:, None] + np.arange(g)]  # in rising order
             i, j = np.triu_indices(g, 1)
-            firsts.append(members[:, i].ravel())
-            seconds.append(members[:, j].ravel())
-        large = np.flatnonzero(lengths > SMALL_GROUP)
-        for k in large.tolist():
-            members = nodes[starts[k] : starts[k + 1]]
-            ring = members[np.argsort(mix(members.view(U) ^ keys[starts[k]]))]
-            firsts.append(ring)
-            seconds.append(np.roll(ring, 1))
-        a, b = np.concatenate(firsts), np.concatenate(seconds)
-        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-        yield pa.RecordBatch.from_arrays(
-            [pa.nulls(len(pairs), pa.int64()), pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["key", "a", "b"]
-        )
-        for k in large.tolist():
-            members = nodes[starts[k] : starts[k + 1]]
-            key = np.full(len(members), keys[starts[k]]).view(np.int64)
+            bands = np.repeat((keys[first] & U(63)).astype(np.int64), len(i))
+            rows.append(np.column_stack([bands, members[:, i].ravel(), members[:, j].ravel()]))
+        pairs, times = np.unique(np.concatenate(rows), axis=0, return_counts=True)
+        for k in range(0, len(pairs), 100_000):
+            part = pairs[k : k + 100_000]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, part.T), pa.array(times[k : k + 100_000])], names)
+        large = np.repeat(lengths > SMALL_GROUP, lengths)
+        keys, nodes = keys[large].view(np.int64), nodes[large]
+        for k in range(0, len(keys), 100_000):
+            n = len(keys[k : k + 100_000])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key), pa.array(members), pa.nulls(len(members), pa.int64())], ["key", "a", "b"]
+                [pa.array(keys[k : k + n]), pa.array(nodes[k : k + n]), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())],
+                names,
             )
 
-    return blocks.repartition(partitions, "bucket").mapInArrow(paired, "key long, a long, b long")
+    return blocks.repartition(partitions, "bucket").mapInArrow(paired, "key long, a long, b long, times long")
+
+
+def _plausible(found: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The pairs that met often enough, and the members that need their large keys."""
+    large = found.where("b is null").select("key", "a", F.col("key").bitwiseAND(63).alias("band"))
+    times_large = large.groupBy(F.col("a").alias("node"), "band").agg(F.count("*").alias("h"))
+    both = F.array(F.struct(F.col("own").alias("band"), F.col("in_own").alias("q")), F.struct(F.col("least").alias("band"), F.col("in_least").alias("q")))
+    needs = classes.select("node", "own", F.explode(F.array_distinct(both)).alias("x"))
+    needs = needs.select("node", "own", "x.band", "x.q").join(times_large, ["node", "band"], "left")
+    needs = needs.withColumn("need", F.col("q") - F.coalesce("h", F.lit(0))).select("node", "own", "band", "need", "h")
+    needs = materialize(needs, "set-needs")
+    pairs = found.where("b is not null").groupBy("a", "b", F.col("key").alias("band")).agg(F.sum("times").alias("times"))
+    for s in "ab":
+        own = needs.select(F.col("node").alias(s), "band", F.col("own").alias(f"own_{s}"), F.col("need").alias(f"need_{s}"))
+        pairs = pairs.join(own, [s, "band"])
+    enough = F.col("times") >= F.greatest(F.lit(1), "need_a", "need_b")
+    pairs = pairs.where((F.col("band") == F.least("own_a", "own_b")) & enough).select("a", "b")
+    open_ = needs.where("h is not null and need <= 0").select(F.col("node").alias("a"), "band")
+    return pairs, materialize(large.join(open_, ["a", "band"]).select("key", "a"), "large-keys")
+
+
+def _stars(large: DataFrame) -> DataFrame:
+    """Every member of a large key with one of them, picked by a hash that differs by key."""
+    pick = F.min(F.struct(F.xxhash64("key", "a").alias("h"), F.col("a").alias("x")))["x"]
+    large = large.where(F.pmod(F.xxhash64("key"), F.lit(STAR_KEYS)) == 0)
+    centre = large.groupBy("key").agg(pick.alias("centre"))
+    joined = large.join(centre, "key").where("a <> centre")
+    return joined.select(F.least("a", "centre").alias("a"), F.greatest("a", "centre").alias("b")).distinct()
 
 
 def _fold(sketch: np.ndarray, size: int) -> np.ndarray:
@@ -361,14 +417,15 @@ def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFram
     return materialize(links.select("a", "b"), "links")
 
 
-def _left_over(large: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame | None:
+def _left_over(large: DataFrame, labels: DataFrame, classes: DataFrame, nearest: int | None) -> DataFrame | None:
     """Pairs of unconnected members of the same large key that sizes and sketches allow.
 
     Members outside the key's most frequent component are compared with all members, in
-    tiles of at most about TILE by TILE rows.
+    tiles of at most about TILE by TILE rows; with ``nearest``, only so many pairs per
+    member and component are returned.
     """
     known = large.join(labels.withColumnRenamed("node", "a"), "a", "left")
-    known = materialize(known.select("key", "a", F.coalesce("label", "a").alias("label")), "large-keys")
+    known = materialize(known.select("key", "a", F.coalesce("label", "a").alias("label")), "large-labels")
     counts = known.groupBy("key", "label").agg(F.count("*").alias("c"))
     groups = counts.groupBy("key").agg(
         F.sum("c").alias("size"), F.max(F.struct("c", "label"))["label"].alias("main"), F.count("*").alias("labels")
@@ -399,16 +456,23 @@ def _left_over(large: DataFrame, labels: DataFrame, classes: DataFrame) -> DataF
                 folded[w] = place, np.stack([_fold(sketches[k], w) for k in place])
         firsts, seconds = [], []
         for k in np.flatnonzero(is_row).tolist():
-            for w in (len(sketches[k]), len(sketches[k]) // 2):
-                if w not in folded:
-                    continue
+            hits, aparts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            for w in {len(sketches[k]), len(sketches[k]) // 2} & folded.keys():
                 place, bits = folded[w]
                 apart = np.bitwise_count(bits ^ _fold(sketches[k], w)).sum(axis=1, dtype=np.int64)
                 good = (7 * apart <= n[place] + n[k]) & (label[place] != label[k])
                 good &= 4 * np.minimum(n[place], n[k]) >= 3 * np.maximum(n[place], n[k])
-                hit = node[place[good]]
-                firsts.append(np.minimum(hit, node[k]))
-                seconds.append(np.maximum(hit, node[k]))
+                hits.append(place[good])
+                aparts.append(apart[good])
+            hit, apart = np.concatenate(hits), np.concatenate(aparts)
+            if nearest is not None and len(hit):
+                order = np.lexsort((apart, label[hit]))
+                hit = hit[order]
+                new = np.flatnonzero(np.append(True, label[hit][1:] != label[hit][:-1]))
+                rank = np.arange(len(hit)) - np.repeat(new, np.diff(np.append(new, len(hit))))
+                hit = hit[rank < nearest]
+            firsts.append(np.minimum(node[hit], node[k]))
+            seconds.append(np.maximum(node[hit], node[k]))
         none = [np.empty(0, np.int64)]
         pairs = np.unique(np.stack([np.concatenate(none + firsts), np.concatenate(none + seconds)], axis=1), axis=0)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
@@ -420,21 +484,24 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """``doc_id, n_shingles, component_id`` of every document; components by links of 0.75 or more."""
     rows = _named(docs, id_col, text_col)
     sets = materialize(shingle_sets(rows), "shingle-sets")
-    classes = sets.where("n > 0").groupBy("node").agg(
-        F.min(F.struct("doc_id", "n", "sketch")).alias("x")
-    )
-    classes = materialize(classes.select("node", "x.doc_id", "x.n", "x.sketch"), "set-classes")
+    fields = ["doc_id", "n", "sketch", "own", "least", "in_own", "in_least"]
+    classes = sets.where("n > 0").groupBy("node").agg(F.min(F.struct(*fields)).alias("x"))
+    classes = materialize(classes.select("node", "x.*"), "set-classes")
     total = classes.agg(F.sum("n")).first()[0] or 0
     conf = docs.sparkSession.conf
     partitions = max(int(conf.get("spark.sql.shuffle.partitions")), int(10 * total // BUCKET_BYTES) + 1)
     found = materialize(candidate_pairs(chunk_blocks(rows, 8 * partitions), partitions), "candidates")
-    links = _verified(found.where("key is null").select("a", "b"), rows, classes)
+    pairs, large = _plausible(found, classes)
+    links = _verified(pairs.union(_stars(large)), rows, classes)
     labels = materialize(components(links), "labels")
-    left = _left_over(found.where("key is not null").select("key", "a"), labels, classes)
-    if left is not None:
+    for nearest in (NEAREST, None):
+        left = _left_over(large, labels, classes, nearest)
+        if left is None:
+            break
         more = _verified(left, rows, classes)
         if not more.isEmpty():
-            labels = materialize(components(links.union(more)), "labels")
+            links = links.union(more)
+            labels = materialize(components(links), "labels")
     known = classes.select("node", "doc_id").join(labels, "node", "left")
     least = known.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
     known = known.join(least, "label", "left").select("node", F.coalesce("least", "doc_id").alias("component_id"))

@@ -189,7 +189,7 @@ def build_trees(vectors: DataFrame) -> tuple[DataFrame, dict[int, float], dict[i
     pivots = {}
     for dims in most:
         own = sorted((r for r in picked if r["dims"] == dims), key=lambda r: r["place"])
-        pivots[dims] = np.array([r["vec_id"] for r in own]), np.array([r["x"] for r in own], np.int64).reshape(-1, dims)
+        pivots[dims] = np.array([r["vec_id"] for r in own]), np.array([r["x"] for r in own], np.int64).reshape(len(own), dims)
 
     def dealt(batches):
         for batch in batches:

@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U = np.uint64
-SLICE = 2_000_000
+SLICE = 500_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
