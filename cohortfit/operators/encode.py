@@ -28,6 +28,11 @@ def category_text(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(MISSING))
 
 
+def present(column: str) -> Column:
+    """The column with NaN as NULL: both are missing values."""
+    return F.when(~F.isnan(F.col(column)), F.col(column))
+
+
 def encoder_stats(
     df: DataFrame,
     roles: Roles,
@@ -46,9 +51,10 @@ def encoder_stats(
     cats = [F.sort_array(F.collect_set(category_text(c))).alias(f"cats_{c}") for c in roles.categorical]
     cats.append(F.count("*").alias("fit_rows"))
     if sizes.largest * max(1, len(numerics)) <= cells:
-        medians = F.array(*[F.median(c).cast("double") for c in numerics]).cast("array<double>")
+        medians = F.array(*[F.median(present(c)).cast("double") for c in numerics]).cast("array<double>")
         return df.groupBy(g).agg(*cats, medians.alias("medians"))
-    found = group_medians(df, g, numerics, sizes=sizes, cells=cells)
+    numbers = df.withColumns({c: present(c) for c in numerics})
+    found = group_medians(numbers, g, numerics, sizes=sizes, cells=cells)
     found = found.select(g, F.array(*[F.col(c).cast("double") for c in numerics]).alias("medians"))
     return attach(
         df.groupBy(g).agg(*cats), found, [g], stats_rows=sizes.groups, row_bytes=64 + 8 * len(numerics)
@@ -59,7 +65,7 @@ def impute(df: DataFrame, roles: Roles) -> DataFrame:
     """Fill the numerics of a frame that carries a ``medians`` array."""
     return df.withColumns(
         {
-            c: F.coalesce(F.col(c).cast("double"), F.get("medians", F.lit(i)))
+            c: F.coalesce(present(c).cast("double"), F.get("medians", F.lit(i)))
             for i, c in enumerate(roles.numeric)
         }
     )
