@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortfit.session import materialize
+from cohortfit.llm.batches import materialize
 
 
 def components(edges: DataFrame) -> DataFrame:

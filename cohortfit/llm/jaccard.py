@@ -47,9 +47,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortfit.llm.batches import materialize
 from cohortfit.llm.graph import components
 from cohortfit.llm.words import U, Slice, distinct_within, mix, slices, sum_within
-from cohortfit.session import materialize
 
 SHINGLE = 5
 #: Link: 100 * intersection >= 75 * union. The sketch bounds below are for this value.

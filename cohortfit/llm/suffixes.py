@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from cohortfit.llm.batches import materialize
 from cohortfit.llm.words import _ODD, U, Slice, mix, slices
-from cohortfit.session import materialize
 
 GRAM, WINDOW = 18, 33
 LEAST = GRAM + WINDOW - 1

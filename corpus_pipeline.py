@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortfit.llm import byte_bpe, exact_index, jaccard, mixing, toxicity
+from cohortfit.llm.batches import materialize
 from cohortfit.llm.queries import mix_columns, toxicity_chain
-from cohortfit.session import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
