@@ -218,18 +218,20 @@ def shingle_sets(rows: DataFrame) -> DataFrame:
 
 
 def _packed(keys: np.ndarray, owners: np.ndarray, nodes: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """One block per bucket: numbers of nodes and keys, the nodes, the keys, the node of each key."""
-    bucket = ((keys >> U(32)) * U(buckets)) >> U(32)
-    order = np.argsort(bucket, kind="stable")
+    """One block per bucket: numbers of nodes and keys and bytes of a count, the nodes, all keys node by node, the counts."""
+    bucket = (((keys >> U(32)) * U(buckets)) >> U(32)).astype(np.int64)
+    order = np.argsort(bucket * len(nodes) + owners, kind="stable")
     keys, owners, bucket = keys[order], owners[order], bucket[order]
     starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
     blocks = []
     for a, b in zip(starts, np.append(starts[1:], len(keys))):
-        used, place = np.unique(owners[a:b], return_inverse=True)
-        small = np.uint16 if len(used) <= 1 << 16 else np.uint32
+        own = owners[a:b]
+        runs = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        counts = np.diff(np.append(runs, b - a))
+        small = np.dtype(np.uint16 if counts.max() < 1 << 16 else np.uint32)
         blocks.append(
-            np.array([len(used), b - a], np.int64).tobytes()
-            + nodes[used].tobytes() + keys[a:b].tobytes() + place.astype(small).tobytes()
+            np.array([len(runs), b - a, small.itemsize], np.int64).tobytes()
+            + nodes[own[runs]].tobytes() + keys[a:b].tobytes() + counts.astype(small).tobytes()
         )
     return pa.RecordBatch.from_arrays(
         [pa.array(bucket[starts].astype(np.int32)), pa.array(blocks, pa.binary())], ["bucket", "block"]
@@ -237,11 +239,10 @@ def _packed(keys: np.ndarray, owners: np.ndarray, nodes: np.ndarray, buckets: in
 
 
 def _unpacked(block: bytes) -> tuple[np.ndarray, np.ndarray]:
-    nodes, keys = np.frombuffer(block, np.int64, 2)
-    known = np.frombuffer(block, np.int64, nodes, 16)
-    small = np.uint16 if nodes <= 1 << 16 else np.uint32
-    place = np.frombuffer(block, small, keys, 16 + 8 * (nodes + keys))
-    return np.frombuffer(block, U, keys, 16 + 8 * nodes), known[place]
+    nodes, keys, width = np.frombuffer(block, np.int64, 3).tolist()
+    known = np.frombuffer(block, np.int64, nodes, 24)
+    counts = np.frombuffer(block, f"u{width}", nodes, 24 + 8 * (nodes + keys))
+    return np.frombuffer(block, U, keys, 24 + 8 * nodes), np.repeat(known, counts)
 
 
 def chunk_blocks(rows: DataFrame, buckets: int) -> DataFrame:
@@ -324,7 +325,7 @@ def candidate_pairs(blocks: DataFrame, partitions: int) -> DataFrame:
                 names,
             )
 
-    return blocks.repartition(partitions, "bucket").mapInArrow(paired, "key long, a long, b long, times long")
+    return blocks.repartitionById(partitions, F.col("bucket")).mapInArrow(paired, "key long, a long, b long, times long")
 
 
 def _plausible(found: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -490,7 +491,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     total = classes.agg(F.sum("n")).first()[0] or 0
     conf = docs.sparkSession.conf
     partitions = max(int(conf.get("spark.sql.shuffle.partitions")), int(10 * total // BUCKET_BYTES) + 1)
-    found = materialize(candidate_pairs(chunk_blocks(rows, 8 * partitions), partitions), "candidates")
+    found = materialize(candidate_pairs(chunk_blocks(rows, partitions), partitions), "candidates")
     pairs, large = _plausible(found, classes)
     links = _verified(pairs.union(_stars(large)), rows, classes)
     labels = materialize(components(links), "labels")
