@@ -70,8 +70,16 @@ def _lists(ids: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int32), *ids])))
 
 
-def encode(text: Column, ranks: str = RANKS, pattern: str = public_tokenizers.PATTERN) -> Column:
-    """``array<int>`` of token ids."""
+def encode(
+    text: Column, ranks: str = RANKS, pattern: str = public_tokenizers.PATTERN, *, verify: bool = False
+) -> Column:
+    """``array<int>`` of token ids; with ``verify``, each text is decoded again in the same worker and compared."""
+
+    def ids_of(encoder: tiktoken.Encoding, text: str) -> np.ndarray:
+        ids = encode_text(encoder, text)
+        if verify and encoder.decode_bytes(ids) != text.encode():
+            raise ValueError("token ids do not decode to the text")
+        return np.array(ids, np.int32)
 
     @F.arrow_udf(T.ArrayType(T.IntegerType(), False))
     def bpe_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -80,7 +88,7 @@ def encode(text: Column, ranks: str = RANKS, pattern: str = public_tokenizers.PA
             lists = [_lists([])]
             for k in range(0, len(batch), ROWS):  # few texts and ids as Python objects at a time
                 texts = batch.slice(k, ROWS).to_pylist()
-                lists.append(_lists([np.array(encode_text(encoder, t or ""), np.int32) for t in texts]))
+                lists.append(_lists([ids_of(encoder, t or "") for t in texts]))
             yield pa.concat_arrays(lists)
 
     return bpe_ids(text)

@@ -68,6 +68,8 @@ def test_byte_bpe(docs, empty):
     for r in got.select("text", "ids", byte_bpe.decode(F.col("ids")).alias("back")).collect():
         assert r.ids == encoder.encode_ordinary(r.text or "")
         assert bytes(r.back) == (r.text or "").encode()
+    checked = docs.select(byte_bpe.encode(F.col("text")).alias("a"), byte_bpe.encode(F.col("text"), verify=True).alias("b"))
+    assert checked.where("a <> b or b is null").count() == 0
     text = words(1, 500) + " 1 2\n\n x's 'll  y " + words(2, 200)
     assert byte_bpe.encode_text(encoder, text, 50) == encoder.encode_ordinary(text)
     assert empty.select(byte_bpe.encode(F.col("text"))).count() == 0
