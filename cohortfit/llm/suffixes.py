@@ -13,7 +13,7 @@ copies of a stretch retain the same suffixes.
    extended: for every split of LEAST words into a left and a right part, the run's
    members with equal parts share a stretch. So a passage is found with every partner,
    not only with the nearest in the order. Where a range boundary cuts a run, the
-   suffixes beside it are compared across.
+   stretches of its parts are joined across the ranges.
 4. Stretches of a text are merged to maximal spans.
 
 Texts equal but for case are one text until the end; their copies repeat as a whole.
@@ -29,11 +29,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from cohortfit.llm.batches import materialize
 from cohortfit.llm.words import _ODD, U, Slice, mix, slices
@@ -132,8 +129,14 @@ def _side(column: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(column), np.uint32).reshape(-1, SIDE)
 
 
-def shared_stretches(h: np.ndarray, right: np.ndarray, left: np.ndarray, tag: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
-    """For every number of words to the left: the suffixes whose stretch of LEAST words another text has."""
+def stretches(
+    h: np.ndarray, right: np.ndarray, left: np.ndarray, tag: np.ndarray
+) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For every number of words to the left: the suffixes with a whole stretch of LEAST words, by stretch.
+
+    Yields that number, the suffixes ordered by the stretch's key and the text, the keys, the
+    starts of the keys' runs and the lengths of these.
+    """
     rights, lefts = np.zeros((SIDE + 1, len(h)), U), np.zeros((SIDE + 1, len(h)), U)
     for k in range(SIDE):
         rights[k + 1] = rights[k] + right[:, k].astype(U) * _ODD[k]
@@ -146,18 +149,24 @@ def shared_stretches(h: np.ndarray, right: np.ndarray, left: np.ndarray, tag: np
         if b:
             whole &= right[:, b - 1] > 0
         rows = np.flatnonzero(whole)
+        if not len(rows):
+            continue
         key = mix(h.view(U)[rows] ^ mix(lefts[a][rows] + mix(rights[b][rows])))
         order = np.lexsort((tag[rows], key))
         rows, key = rows[order], key[order]
-        starts = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
-        lengths = np.diff(np.append(starts, len(key)))
-        several = tag[rows[starts]] != tag[rows[starts + lengths - 1]] if len(key) else np.zeros(0, bool)
-        yield rows[np.repeat(several, lengths)], a
+        starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        yield a, rows, key, starts, np.diff(np.append(starts, len(key)))
 
 
 def _matched(sorted_suffixes: DataFrame) -> DataFrame:
-    """``tag, start, finish`` of shared stretches, and both ends of every range for the comparison across."""
-    schema = "tag long, start int, finish int, range int, h long, right binary, left binary, place int"
+    """``tag, start, finish`` of stretches shared inside a range, and the stretches that may be shared across ranges.
+
+    The latter are those of the range's first and last beginning, which other ranges may hold
+    too. They have a ``key``, and the least and largest text (``low, high``) that the range has
+    it in; ``tag, start, finish`` only where that is one text.
+    """
+    names = ["tag", "start", "finish", "key", "low", "high"]
+    schema = "tag long, start int, finish int, key long, low long, high long"
 
     def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
@@ -166,63 +175,49 @@ def _matched(sorted_suffixes: DataFrame) -> DataFrame:
         table = pa.Table.from_batches(held)
         h, tag, place = (table.column(c).to_numpy() for c in ("h", "tag", "place"))
         right, left = (_side(table.column(c).to_pylist()) for c in ("right", "left"))
+        del held, table
+        edge = (h == h[0]) | (h == h[-1])
         hit, split = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for rows, a in shared_stretches(h, right, left, tag):
-            hit.append(rows)
-            split.append(np.full(len(rows), a))
+        for a, rows, key, starts, lengths in stretches(h, right, left, tag):
+            low, high = tag[rows[starts]], tag[rows[starts + lengths - 1]]
+            several = low != high
+            found = rows[np.repeat(several, lengths)]
+            hit.append(found)
+            split.append(np.full(len(found), a))
+            known = starts[several & edge[rows[starts]]]
+            alone = np.flatnonzero(np.repeat(~several, lengths) & edge[rows])
+            if len(known):
+                ends = [pa.array(x[several & edge[rows[starts]]]) for x in (low, high)]
+                nothing = [pa.nulls(len(known), t) for t in (pa.int64(), pa.int32(), pa.int32())]
+                yield pa.RecordBatch.from_arrays([*nothing, pa.array(key[known].view(np.int64)), *ends], names)
+            if len(alone):
+                own, start = pa.array(tag[rows[alone]]), place[rows[alone]] - a
+                span = [pa.array(start, pa.int32()), pa.array(start + LEAST, pa.int32())]
+                yield pa.RecordBatch.from_arrays([own, *span, pa.array(key[alone].view(np.int64)), own, own], names)
         hit, split = np.concatenate(hit), np.concatenate(split)
+        if not len(hit):
+            return
         order = np.lexsort((split, hit))
         hit, split = hit[order], split[order]
         new = np.ones(len(hit), bool)
         new[1:] = (hit[1:] != hit[:-1]) | (split[1:] != split[:-1] + 1)
         first = np.flatnonzero(new)
         last = np.append(first[1:], len(hit)) - 1
-        n = len(first)
-        start, finish = place[hit[first]] - split[last] if n else [], place[hit[first]] + LEAST - split[first] if n else []
-        nothing = [pa.nulls(n, t) for t in (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int32())]
-        names = ["tag", "start", "finish", "range", "h", "right", "left", "place"]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(tag[hit[first]]), pa.array(start, pa.int32()), pa.array(finish, pa.int32()), *nothing], names
-        )
-        ends = table.take(pa.array([0, table.num_rows - 1]))
-        number = pa.array([TaskContext.get().partitionId()] * 2, pa.int32())
-        yield pa.RecordBatch.from_arrays(
-            [ends.column("tag").combine_chunks(), pa.nulls(2, pa.int32()), pa.nulls(2, pa.int32()), number,
-             *[ends.column(c).combine_chunks() for c in ("h", "right", "left", "place")]], names
-        )
+        start, finish = place[hit[first]] - split[last], place[hit[first]] + LEAST - split[first]
+        spans = [pa.array(tag[hit[first]]), pa.array(start, pa.int32()), pa.array(finish, pa.int32())]
+        yield pa.RecordBatch.from_arrays([*spans, *[pa.nulls(len(first), pa.int64())] * 3], names)
 
     return sorted_suffixes.mapInArrow(matched, schema)
 
 
-@F.arrow_udf(T.ArrayType(T.IntegerType()))
-def _extents(right: pa.Array, left: pa.Array, right2: pa.Array, left2: pa.Array) -> pa.Array:
-    """Equal words to the left and to the right of two suffixes."""
-    out = []
-    for sides in zip(*(x.to_pylist() for x in (left, left2, right, right2))):
-        if any(x is None for x in sides):
-            out.append([0, 0])
-            continue
-        a, b, c, d = (np.frombuffer(x, np.uint32) for x in sides)
-        out.append([int(np.argmin(np.append((x == y) & (x > 0), False))) for x, y in ((a, b), (c, d))])
-    return pa.array(out, pa.list_(pa.int32()))
-
-
-def _across(ends: DataFrame) -> DataFrame:
-    """Stretches shared by the last suffix of a range and the first of the next: two rows per range."""
-    order = Window.orderBy("range", "h", "right", "left", "tag", "place")
-    for c in ("h", "right", "left", "tag", "place"):
-        ends = ends.withColumn(f"{c}2", F.lag(c).over(order))
-    pairs = ends.where("h = h2 and tag <> tag2").withColumn("e", _extents("right", "left", "right2", "left2"))
-    pairs = pairs.where(F.col("e")[0] + F.col("e")[1] + GRAM >= LEAST)
-    sides = [
-        pairs.select(
-            F.col(f"tag{s}").alias("tag"),
-            (F.col(f"place{s}") - F.col("e")[0]).alias("start"),
-            (F.col(f"place{s}") + GRAM + F.col("e")[1]).alias("finish"),
-        )
-        for s in ("", "2")
-    ]
-    return sides[0].unionByName(sides[1])
+def _across(edges: DataFrame) -> DataFrame:
+    """The stretches that a range has in one text only, and another range in another text.
+
+    A range has at most one such text for a key, and one row for a key of several texts, so no
+    key is met by more rows than there are ranges (and repeats within a text).
+    """
+    shared = edges.groupBy("key").agg(F.min("low").alias("least"), F.max("high").alias("most")).where("least <> most")
+    return edges.where("tag is not null").join(shared, "key", "left_semi").select("tag", "start", "finish")
 
 
 def _merged(spans):
@@ -266,11 +261,11 @@ def repeated_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     context = materialize(_contexts(chosen).distinct(), "suffix-contexts")
     keys = ["h", "right", "left", "tag", "place"]
     matched = materialize(_matched(context.repartitionByRange(*keys).sortWithinPartitions(*keys)), "suffix-matches")
-    stretches = matched.where("range is null").select("tag", "start", "finish")
-    stretches = stretches.unionByName(_across(matched.where("range is not null")))
+    stretched = matched.where("key is null").select("tag", "start", "finish")
+    stretched = stretched.unionByName(_across(matched.where("key is not null")))
     copied = one_of.where((F.col("copies") > 1) & (F.col("n_words") >= LEAST))
-    stretches = stretches.unionByName(copied.select("tag", F.lit(0).alias("start"), F.col("n_words").alias("finish")))
-    spans = stretches.groupBy("tag").agg(F.sort_array(F.collect_set(F.struct("start", "finish"))).alias("spans"))
+    stretched = stretched.unionByName(copied.select("tag", F.lit(0).alias("start"), F.col("n_words").alias("finish")))
+    spans = stretched.groupBy("tag").agg(F.sort_array(F.collect_set(F.struct("start", "finish"))).alias("spans"))
     spans = spans.select("tag", _merged(F.col("spans")).alias("spans"))
     covered = F.aggregate("spans", F.lit(0), lambda n, s: n + s["finish"] - s["start"])
     return texts.join(spans, "tag").select("doc_id", "n_words", covered.alias("n_repeated"), "spans")

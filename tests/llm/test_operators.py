@@ -3,6 +3,7 @@
 import base64
 import collections
 import hashlib
+import random
 import re
 import zlib
 
@@ -158,13 +159,11 @@ def test_jaccard_join_of_a_large_family(spark, monkeypatch):
     assert got == near(texts)
 
 
-def test_suffixes(docs, empty):
-    windows, texts = collections.defaultdict(set), {k: split(t) for k, t in named()}
-    whole = {k: t.translate(LOWER) for k, t in named()}
+def repeated_windows(texts):
+    windows, want = collections.defaultdict(set), {}
     for k, w in texts.items():
         for i in range(len(w) - 49):
             windows[tuple(w[i : i + 50])].add(k)
-    want = {}
     for k, w in texts.items():
         spans = []
         for i in range(len(w) - 49):
@@ -175,11 +174,35 @@ def test_suffixes(docs, empty):
                     spans.append((i, i + 50))
         if spans:
             want[k] = spans
+    return want
+
+
+def test_suffixes(docs, empty):
     got = {r.doc_id: [tuple(s) for s in r.spans] for r in suffixes.repeated_passages(docs).collect()}
-    assert got == want and whole
+    assert got == repeated_windows({k: split(t) for k, t in named()})
     assert suffixes.repeated_passages(empty).count() == 0
 
 
+def test_suffixes_of_one_beginning_over_many_ranges(spark):
+    passage, r = words(11, 90).split(), random.Random(12)
+    texts = {}
+    for k in range(120):  # parts of one passage, so that partners are seldom next to each other in the order
+        a = r.randrange(40)
+        part = passage[a : a + r.randrange(30, 62)]
+        texts[k] = f"{words(1000 + k, r.randrange(60))} {' '.join(part)} {words(2000 + k, r.randrange(60))}"
+    table = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        found = suffixes.repeated_passages(table).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {x.doc_id: [tuple(s) for s in x.spans] for x in found} == repeated_windows({k: split(t) for k, t in texts.items()})
+
+
 def brute_spans(text):
     found = []
     for rank, kind in enumerate(pii.KINDS):
