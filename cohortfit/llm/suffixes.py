@@ -251,7 +251,9 @@ def repeated_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     texts = found.where("h is null").select("doc_id", "tag", F.col("n").alias("n_words")).distinct()
     suffixes = found.where("h is not null").select("h", "tag", F.col("n").alias("place"))
     shared = suffixes.groupBy("h").agg(F.min("tag").alias("low"), F.max("tag").alias("high")).where("low <> high")
-    places = suffixes.join(shared.select("h"), "h", "left_semi").select("tag", "place").distinct()
+    # Written, so that the join has plain sides and its hot beginnings can be split.
+    shared = materialize(shared.select("h"), "suffix-shared")
+    places = suffixes.join(shared, "h", "left_semi").select("tag", "place").distinct()
     places = places.groupBy("tag").agg(F.collect_list("place").alias("places"))  # bounded by the text
     one_of = texts.groupBy("tag").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
     one_of = materialize(one_of.join(texts.select("tag", "n_words").distinct(), "tag"), "suffix-texts")
