@@ -184,8 +184,11 @@ def build_trees(vectors: DataFrame) -> tuple[DataFrame, dict[int, float], dict[i
     """
     norm = F.aggregate("x", F.lit(0).cast("bigint"), lambda s, v: s + v.cast("bigint") * v.cast("bigint"))
     most = {r["dims"]: float(r["m"] or 0) for r in vectors.groupBy("dims").agg(F.max(norm).alias("m")).collect()}
-    place = F.row_number().over(Window.partitionBy("dims").orderBy(F.xxhash64("vec_id"), "vec_id", "x"))
-    picked = vectors.withColumn("place", place).where(F.col("place") <= PIVOTS).collect()  # PIVOTS per length
+    # One pivot per id: copies of a row must not count twice in the bound that pivots give.
+    place = F.row_number().over(Window.partitionBy("dims").orderBy(F.xxhash64("vec_id"), "vec_id"))
+    named = vectors.select("dims", "vec_id").distinct().withColumn("place", place).where(F.col("place") <= PIVOTS)
+    picked = vectors.select("dims", "vec_id", "x").join(F.broadcast(named), ["dims", "vec_id"])
+    picked = picked.groupBy("dims", "vec_id", "place").agg(F.min("x").alias("x")).collect()  # PIVOTS per length
     pivots = {}
     for dims in most:
         own = sorted((r for r in picked if r["dims"] == dims), key=lambda r: r["place"])

@@ -275,6 +275,24 @@ def test_mtree(spark):
     assert mtree.top_k(none, F.col("vec_id") % 100 == 0).count() == 0
 
 
+def nearest(ints, k=10):
+    """Brute force over unique (id, whole numbers) pairs; queries are the ids divisible by 100."""
+    want = []
+    for q, x in ints:
+        if q % 100 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(x, v)), j) for j, v in ints if j != q and len(v) == len(x))
+            want += [(q, i, j, -s) for i, (s, j) in enumerate(scored[:k], 1)]
+    return sorted(want)
+
+
+def test_mtree_repeated_rows_count_once(spark):
+    r = np.random.default_rng(5)
+    data = [(100 * k, r.normal(0, 0.2, 8).tolist()) for k in range(300)]
+    table = spark.createDataFrame([row for row in data for _ in range(12)], "vec_id long, embedding array<double>")
+    got = mtree.top_k(table, F.col("vec_id") % 100 == 0).collect()
+    assert sorted(map(tuple, got)) == nearest([(k, [int(np.floor(1024 * x)) for x in v]) for k, v in data])
+
+
 def test_mtree_skips_computations():
     r = np.random.default_rng(4)
     centres = r.integers(-300, 300, (20, 6))
