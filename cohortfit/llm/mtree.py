@@ -14,9 +14,13 @@ before computing any; it ends when no open page can hold a better vector than th
 best, whose first bound comes from the pivots themselves. Scores are exact integers;
 distances only skip, with a slack for rounding.
 
+Trees hold the vectors whose squared norm is exact in a double. Longer ones, as queries or
+as candidates, are compared pair by pair in blocks: doubles with a bound on their error
+leave the few pairs that can be among the best k, and whole numbers of any size settle these.
+
 Defined results: vectors that are NULL, or hold a NULL or non-finite component, and rows
-without an id take no part; nor do vectors with a component beyond 2^20 in size, whose
-scores might not fit a long. Rows repeated with the same id and vector count once; other
+without an id take no part. All others do; a score that no long can hold is ranked by its
+exact value and given as NULL, or as decimal text with ``text_scores``. Rows repeated with the same id and vector count once; other
 vectors of the query's own id are no candidates; vectors of several lengths are searched
 apart; fewer candidates than k give fewer results; ties go to the smaller id.
 """
@@ -35,17 +39,30 @@ from pyspark.sql.window import Window
 from cohortfit.session import materialize
 
 SCALE = 1024
-LIMIT = 1 << 20
+#: Squared norms up to this are exact in trees, with room for the sum of two.
+LIMIT = float(1 << 52)
 #: Pivots that vectors are dealt by, vectors per tree, entries per page, queries per block.
 PIVOTS, TREE, PAGE, FANOUT, BLOCK = 16, 8_192, 128, 12, 512
+#: Candidates that one task compares pair by pair with a block of queries.
+PART = 4_096
+
 
+def scaled(vector: Column, scale: int = SCALE) -> tuple[Column, Column]:
+    """Integers floor(scale * x) for trees, and the numbers of a vector too long for them.
 
-def scaled(vector: Column, scale: int = SCALE) -> Column:
-    """Integers floor(scale * x), or NULL for a vector that takes no part."""
-    bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) * scale > LIMIT)
+    One of them is NULL, or both for a vector that takes no part.
+    """
+    bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     numbers = F.transform(vector, lambda x: x.cast("double"))
+    fits = F.aggregate(F.transform(numbers, lambda x: _floor(x * scale)), F.lit(0.0), lambda s, v: s + v * v) <= LIMIT
+    taken = vector.isNotNull() & ~F.exists(numbers, bad)
     whole = F.transform(numbers, lambda x: F.floor(x * scale).cast("int"))
-    return F.when(vector.isNotNull() & ~F.exists(numbers, bad), whole)
+    return F.when(taken & fits, whole), F.when(taken & ~fits, numbers)
+
+
+def _floor(x: Column) -> Column:
+    """The floor as a double; doubles from 2^53 on are whole."""
+    return F.when(F.abs(x) < float(1 << 53), F.floor(x).cast("double")).otherwise(x)
 
 
 def _matrix(column: pa.ChunkedArray, dims: int) -> np.ndarray:
@@ -257,6 +274,94 @@ def _load(table: pa.Table, most: float) -> Tree:
     return Tree(pages, most)
 
 
+class Wide:
+    """Unique (id, vector) pairs of whole numbers of any size."""
+
+    def __init__(self, table: pa.Table, id_col: str, dims: int, scale: int):
+        x = table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+        raw = table.column("raw").to_numpy().astype(bool)[:, None]
+        with np.errstate(over="ignore"):
+            whole = np.where(raw, np.floor(x * scale), x) + 0.0
+        over = ~np.isfinite(whole)  # the product has no double: kept apart from its factor
+        values = np.where(over, x, whole)
+        ids = table.column(id_col).to_pylist()
+        first = {(i, v.tobytes(), o.tobytes()): n for n, (i, v, o) in enumerate(zip(ids, values, over))}
+        rows = np.array(list(first.values()), np.int64)
+        self.ids, self.values, self.over, self.scale = np.array(ids, np.int64)[rows], values[rows], over[rows], scale
+        # near * 2^exponent is the vector, to a few units in the last place.
+        places = np.frexp(self.values)[1] + np.where(self.over, scale.bit_length(), 0)
+        self.exponent = np.where(self.values != 0, places, -2000).max(axis=1)
+        self.near = np.ldexp(self.values, -self.exponent[:, None]) * np.where(self.over, float(scale), 1.0)
+
+    def numbers(self, row: int) -> list[int]:
+        pairs = zip(self.values[row].tolist(), self.over[row].tolist())
+        return [int(v) * self.scale if o else int(v) for v, o in pairs]
+
+
+def _compare(queries: Wide, rows: Wide, k: int):
+    """For every query its id and the best k of ``rows`` as (id, exact score)."""
+    known: dict[int, list[int]] = {}
+    same: dict[tuple[bytes, bytes], int] = {}  # equal vectors of several ids are scored once
+    alike = [same.setdefault((v.tobytes(), o.tobytes()), n) for n, (v, o) in enumerate(zip(rows.values, rows.over))]
+    power = rows.exponent - rows.exponent.max()
+    room = 4 * (rows.near.shape[1] + 4) * np.finfo(float).eps
+    size = np.abs(rows.near)
+    for n, own in enumerate(queries.ids.tolist()):
+        others = np.flatnonzero(rows.ids != own)
+        if not len(others):
+            continue
+        q = queries.near[n]
+        score = np.ldexp(rows.near @ q, power)[others]
+        slack = np.ldexp(size @ np.abs(q), power)[others] * room + 1e-290  # the latter for underflow
+        if len(others) > k:
+            least = np.partition(score - slack, len(others) - k)[len(others) - k]
+            others = others[score + slack >= least]
+        asked, scores = queries.numbers(n), {}
+        found = []
+        for row in others.tolist():
+            at = alike[row]
+            if at not in scores:
+                if at not in known:
+                    known[at] = rows.numbers(at)
+                scores[at] = sum(a * b for a, b in zip(asked, known[at]))
+            found.append((-scores[at], int(rows.ids[row])))
+        yield own, [(i, -s) for s, i in heapq.nsmallest(k, found)]
+
+
+def compared(queries: DataFrame, rows: DataFrame, k: int, scale: int) -> DataFrame:
+    """``query_id, vec_id, score`` (decimal text): the best k of every part of ``rows``, exactly.
+
+    Both hold an id, ``dims``, the numbers ``v`` and whether these are yet to be scaled (``raw``).
+    """
+    queries = materialize(queries, "mtree-compared")  # both come of one table, which cogroups cannot tell apart
+    blocks, parts = max(1, -(-queries.count() // BLOCK)), max(1, -(-rows.count() // PART))
+    block, part = F.pmod(F.xxhash64("query_id"), F.lit(blocks)), F.pmod(F.xxhash64("vec_id"), F.lit(parts))
+    left = rows.withColumn("part", part.cast("int")).select("*", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    right = queries.withColumn("block", block.cast("int")).select("*", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+
+    def pairs(left: pa.Table, right: pa.Table) -> pa.Table:
+        out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
+        if left.num_rows and right.num_rows:
+            dims = left.column("dims")[0].as_py()
+            for own, best in _compare(Wide(right, "query_id", dims, scale), Wide(left, "vec_id", dims, scale), k):
+                out["query_id"] += [own] * len(best)
+                out["vec_id"] += [i for i, _ in best]
+                out["score"] += [str(s) for _, s in best]
+        return pa.table({c: pa.array(v, pa.string() if c == "score" else pa.int64()) for c, v in out.items()})
+
+    keys = ["dims", "part", "block"]
+    met = left.groupBy(*keys).cogroup(right.groupBy(*keys))
+    return met.applyInArrow(pairs, "query_id long, vec_id long, score string")
+
+
+def _in_order(score: Column) -> Column:
+    """Text in the order of the whole numbers that ``score`` holds as decimal text."""
+    negative, digits = score.startswith("-"), F.regexp_replace(score, "^-", "")
+    length = F.length(digits)
+    below = F.concat(F.lit("0"), F.lpad((99_999 - length).cast("string"), 5, "0"), F.translate(digits, "0123456789", "9876543210"))
+    return F.when(negative, below).otherwise(F.concat(F.lit("1"), F.lpad(length.cast("string"), 5, "0"), digits))
+
+
 def top_k(
     rows: DataFrame,
     queries: Column,
@@ -265,15 +370,19 @@ def top_k(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     scale: int = SCALE,
+    text_scores: bool = False,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: for rows where ``queries`` holds, the best k of all rows."""
-    vectors = rows.select(
+    whole, wide = scaled(F.col(vector_col), scale)
+    every = rows.select(
         F.col(id_col).cast("long").alias("vec_id"),
-        scaled(F.col(vector_col), scale).alias("x"),
+        whole.alias("x"),
+        wide.alias("wide"),
         F.coalesce(queries, F.lit(False)).alias("is_query"),
     )
-    vectors = vectors.where("vec_id is not null and x is not null").withColumn("dims", F.size("x"))
-    vectors = materialize(vectors, "mtree-vectors")
+    every = every.where("vec_id is not null and (x is not null or wide is not null)")
+    every = materialize(every.withColumn("dims", F.size(F.coalesce(F.col("x").cast("array<double>"), "wide"))), "mtree-vectors")
+    vectors = every.where("x is not null").drop("wide")
     pages, most, pivots = build_trees(vectors)
     asked = vectors.where("is_query").select(F.col("vec_id").alias("query_id"), "x", "dims").distinct()
     asked = materialize(asked, "mtree-queries")
@@ -307,5 +416,19 @@ def top_k(
     keys = ["dims", "tree", "block"]
     found = pages_by_block.groupBy(*keys).cogroup(queries_by_tree.groupBy(*keys))
     found = found.applyInArrow(searched, "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    order = F.col("score")
+    if not every.where("wide is not null").isEmpty():
+        raw = F.col("wide").isNotNull()
+        numbers = F.coalesce(F.col("wide"), F.col("x").cast("array<double>"))
+        all_rows = every.select("vec_id", "dims", numbers.alias("v"), raw.alias("raw"), "is_query")
+        long_rows = all_rows.where("raw").drop("is_query")
+        all_asked = all_rows.where("is_query").select(F.col("vec_id").alias("query_id"), "dims", "v", "raw")
+        found = found.withColumn("score", F.col("score").cast("string"))
+        found = found.unionByName(compared(all_asked, long_rows, k, scale))
+        others = all_rows.where("not raw").drop("is_query")
+        found = found.unionByName(compared(all_asked.where("raw"), others, k, scale))
+        order = _in_order(F.col("score"))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(order.desc(), "vec_id"))
+    score = F.col("score").cast("string") if text_scores else F.col("score").try_cast("bigint")
+    ranked = found.withColumn("rank", rank).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", score.alias("score"))

@@ -293,6 +293,25 @@ def test_mtree_repeated_rows_count_once(spark):
     assert sorted(map(tuple, got)) == nearest([(k, [int(np.floor(1024 * x)) for x in v]) for k, v in data])
 
 
+def test_mtree_long_vectors_take_part(spark):
+    r = np.random.default_rng(6)
+    data = [(50 * k, (r.normal(0, 1, 4) * 10.0 ** r.choice([0, 4, 9, 150, 304])).tolist()) for k in range(200)]
+    data += [(20_001, [1.7e308, -1.7e308, 0.1, 1e306]), (20_100, [-1.7e308, 0.0, -0.1, 1.0]), (20_200, [1024.5] * 4)]
+    data += [(20_300, [0.0] * 4), (20_301, data[3][1]), data[3], data[8], (20_400, [float("inf"), 0.0, 0.0, 0.0])]
+
+    def whole(x):  # the product as a double, or in whole numbers where no double holds it
+        return int(np.floor(1024.0 * x)) if np.isfinite(1024.0 * x) else 1024 * int(x)
+
+    with np.errstate(over="ignore"):
+        ints = {(k, tuple(whole(x) for x in v)) for k, v in data if np.isfinite(v).all()}
+    table = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    want = nearest(sorted(ints))
+    got = mtree.top_k(table, F.col("vec_id") % 100 == 0, text_scores=True).collect()
+    assert sorted((q, i, v, int(s)) for q, i, v, s in got) == want
+    got = mtree.top_k(table, F.col("vec_id") % 100 == 0).collect()
+    assert sorted(map(tuple, got), key=lambda t: t[:2]) == [(*t[:3], t[3] if -(2**63) <= t[3] < 2**63 else None) for t in want]
+
+
 def test_mtree_skips_computations():
     r = np.random.default_rng(4)
     centres = r.integers(-300, 300, (20, 6))
