@@ -79,6 +79,20 @@ def test_split_matches_brute_force(df, pdf, limits):
         assert {i for i in order[:cut]} == {i for i in order if got[i] == "test"}
 
 
+def test_split_of_repeated_ids_does_not_depend_on_size(spark):
+    rows = spark.range(3_000).select(
+        F.when(F.col("id") % 7 == 0, None).otherwise(F.lit("a")).alias("g"), (F.col("id") % 10).alias("id"), F.hash("id").alias("x")
+    )
+    got = [
+        sorted((str(r["g"]), r["id"], r["x"], r["split"]) for r in train_test_split(rows, "g", "id", **limits).collect())
+        for limits in ({}, {"task_rows": 20}, {"shuffle_rows": 10})
+    ]
+    assert got[0] == got[1] == got[2]
+    for name in ("a", "None"):
+        part = [r for r in got[0] if r[0] == name]
+        assert sum(r[3] == "test" for r in part) == math.ceil(0.33 * len(part))
+
+
 def test_large_split_does_not_shuffle_the_rows(df):
     plan = train_test_split(df, "g", "id", task_rows=20)._jdf.queryExecution().executedPlan().toString()
     spine = [line for line in plan.splitlines() if "Window" in line]
