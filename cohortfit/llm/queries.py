@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortfit.llm import byte_bpe, exact_index, jaccard, langid, mixing, mtree, pii, suffixes, token_frames, toxicity
+from cohortfit.llm import (
+    byte_bpe,
+    centroids,
+    exact_index,
+    jaccard,
+    langid,
+    mixing,
+    mtree,
+    pii,
+    suffixes,
+    token_frames,
+    toxicity,
+    url_filter,
+    vector_codes,
+)
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -103,7 +117,134 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_toxicity, op3_pii, op4_ngram_jaccard, op5_token_frames, op6_mtree_topk, op7_byte_bpe, op8_mixing, op9_langid, op10_exact_dedup)}
+def embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/embeddings.parquet")
+
+
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    codes, books = vector_codes.compress(embeddings(spark, folder))
+    codes = codes.withColumn("codebooks_sha256", F.lit(books.sha256()))
+    return codes.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster(embeddings(spark, folder))[0]
+
+
+#: Rules of the registered query.
+URL_RULES = [
+    url_filter.Rule(False, "com"),
+    url_filter.Rule(True, "example.com", "/en/"),
+    url_filter.Rule(False, "www.example.com", "/en/"),
+    url_filter.Rule(True, "net", "/es/"),
+    url_filter.Rule(True, "net", "/fr/"),
+]
+
+
+def op13_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge(spark.read.parquet(f"{folder}/pages.parquet"), URL_RULES)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_suffix_dedup,
+        op2_toxicity,
+        op3_pii,
+        op4_ngram_jaccard,
+        op5_token_frames,
+        op6_mtree_topk,
+        op7_byte_bpe,
+        op8_mixing,
+        op9_langid,
+        op10_exact_dedup,
+        op11_vector_codes,
+        op12_centroids,
+        op13_url_filter,
+    )
+}
+
+
+def _codes_sql() -> str:
+    """Four rounds of assigning parts to entries and averaging, then codes and errors."""
+    nearest = """
+        select part, row, x, arg_min(entry, (d, entry)) as entry, min(d) as d from (
+            select p.part, p.row, p.x, b.entry, list_dot_product(p.x, p.x) - 2 * list_dot_product(p.x, b.x)
+                + list_dot_product(b.x, b.x) as d
+            from parts p join book{k} b on b.part = p.part
+        ) group by part, row, x"""
+    ctes = ["""
+        kept as (
+            select vec_id, label, list_transform(embedding, lambda v: floor(1024 * v::double)) as x,
+                   row_number() over (order by vec_id, embedding) as row
+            from embeddings
+            where vec_id is not null and len(list_filter(embedding, lambda v: v is null or not isfinite(v))) = 0
+        ), parts as (
+            select row, t.p as part, x[t.p * len(x) // 4 + 1 : (t.p + 1) * len(x) // 4] as x
+            from kept cross join range(4) t(p)
+        ), book0 as (select part, row - 1 as entry, x from parts where row <= 256)"""]
+    for k in range(4):
+        ctes.append(f"""
+        near{k} as materialized ({nearest.format(k=k)}
+        ), mean{k} as (
+            select part, entry, list(v order by pos) as x from (
+                select part, entry, pos, floor(sum(v) / count(*)) as v
+                from (select part, entry, unnest(x) as v, generate_subscripts(x, 1) as pos from near{k}) group by all
+            ) group by all
+        ), book{k + 1} as materialized (
+            select part, entry, coalesce(m.x, b.x) as x from book{k} b left join mean{k} m using (part, entry)
+        )""")
+    ctes.append(f"""
+        last as ({nearest.format(k=4)}
+        ), coded as (
+            select row, string_agg(lower(printf('%02x', entry::int)), '' order by part) as code, sum(d)::bigint as error
+            from last group by row
+        ), digits as (
+            select string_agg(v::bigint::varchar, ',' order by part, entry, pos) as s
+            from (select part, entry, unnest(x) as v, generate_subscripts(x, 1) as pos from book4)
+        )""")
+    return f"""with {','.join(ctes)}
+        select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error,
+               sha256((select s from digits)) as codebooks_sha256
+        from coded join kept using (row)"""
+
+
+def _centroids_sql() -> str:
+    """Three rounds of assigning vectors to centroids and averaging, then distances."""
+    nearest = """
+        select row, vec_id, x, arg_min(cluster, (d, cluster)) as cluster, min(d)::bigint as distance from (
+            select v.row, v.vec_id, v.x, c.cluster, list_dot_product(v.x, v.x) - 2 * list_dot_product(v.x, c.x)
+                + list_dot_product(c.x, c.x) as d
+            from kept v cross join centre{k} c
+        ) group by row, vec_id, x"""
+    ctes = ["""
+        kept as (
+            select vec_id, list_transform(embedding, lambda v: floor(64 * v::double)) as x,
+                   row_number() over (order by sha256('1:' || vec_id::varchar), embedding) as row
+            from embeddings
+            where vec_id is not null and len(embedding) = 64
+              and len(list_filter(embedding, lambda v: v is null or not isfinite(v))) = 0
+        ), centre0 as (select (row - 1)::int as cluster, x from kept where row <= 16)"""]
+    for k in range(3):
+        ctes.append(f"""
+        near{k} as materialized ({nearest.format(k=k)}
+        ), mean{k} as (
+            select cluster, list(v order by pos) as x from (
+                select cluster, pos, floor(sum(v) / count(*)) as v
+                from (select cluster, unnest(x) as v, generate_subscripts(x, 1) as pos from near{k}) group by all
+            ) group by all
+        ), centre{k + 1} as materialized (
+            select cluster, coalesce(m.x, c.x) as x from centre{k} c left join mean{k} m using (cluster)
+        )""")
+    return f"""with {','.join(ctes)}, last as ({nearest.format(k=3)}
+        ), digests as (
+            select cluster, sha256(string_agg(v::bigint::varchar, ',' order by pos)) as centroid_sha256
+            from (select cluster, unnest(x) as v, generate_subscripts(x, 1) as pos from centre3) group by cluster
+        )
+        select vec_id, cluster, distance, (sum(distance) over (partition by cluster))::bigint as cluster_inertia,
+               (sum(distance) over ())::bigint as inertia, centroid_sha256
+        from last join digests using (cluster)"""
+
 
 ORACLES = {
     "op4_ngram_jaccard": """
@@ -146,4 +287,6 @@ ORACLES = {
         select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,
                doc_id = max(doc_id) over w as kept, text_sha256
         from d window w as (partition by text_sha256)""",
+    "op11_vector_codes": _codes_sql(),
+    "op12_centroids": _centroids_sql(),
 }
