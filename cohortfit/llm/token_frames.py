@@ -10,6 +10,8 @@ Writing is one Spark job: documents are dealt over ranges of ids, sorted, encode
 written by the tasks, one file per range and attempt. Names are unique to the attempt
 and only those in the returned manifest count, so a lost or repeated task does no harm.
 
+The strings of special tokens in a text become their ids, as in the library's plain call.
+
 Defined results: a NULL or empty text has only the end id; rows without an id are left
 out; rows that repeat an id follow each other in order of their text; an empty table
 gives an empty manifest. Only the id and text columns are read.
@@ -17,7 +19,6 @@ gives an empty manifest. Only the id and text columns are read.
 
 from __future__ import annotations
 
-import json
 import os
 import struct
 import uuid
@@ -29,14 +30,14 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.fs
-import regex
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cohortfit.session import materialize, shared_dir
+from cohortfit.llm.batches import materialize
+from cohortfit.session import shared_dir
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
@@ -49,22 +50,89 @@ CHECKSUMS = 0x80
 #: Magic number of the skippable frame with the document ids (the format allows 0x184D2A50 to 0x184D2A5F).
 DOC_IDS = 0x184D2A51
 
-#: Words a worker remembers; it forgets all when there are more, so memory stays bounded.
-REMEMBERED = 500_000
+#: Pieces a worker remembers; it forgets all when there are more, so memory stays bounded.
+REMEMBERED = 300_000
+#: Characters of texts encoded together; a longer text is taken alone.
+SLICE = 1 << 19
 
 MANIFEST = "path string, first_id long, n_docs long, n_tokens long"
 
-
-def _split_pattern(pre_tokenizer: str) -> str:
-    return json.loads(pre_tokenizer)["pretokenizers"][0]["pattern"]["Regex"]
-
-
-class WordEncoder:
-    """Encodes texts word by word through the tokenizers library, each different word once.
-
-    The tokenizer drops white space and never joins characters across it, so the ids of a
-    text are those of its words in order. Words of printable ASCII are cut further by the
-    tokenizer's own split pattern, so that a word with and without a comma is one entry.
+_SPACE, _LETTER, _DIGIT, _MARK, _OTHER = range(5)
+_CLASS = np.full(256, _OTHER, np.uint8)
+_CLASS[33:127] = _MARK
+_CLASS[[32, *range(9, 14)]] = _SPACE
+_CLASS[48:58] = _DIGIT
+_CLASS[[*range(65, 91), *range(97, 123)]] = _LETTER
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+#: Lead byte of U+00C0 to U+00FF, and the second bytes of the two of them that are no letters.
+_LATIN, _NO_LETTERS = 0xC3, (0x97, 0xB7)
+#: What the tokenizer's split pattern cuts off as one piece after an apostrophe.
+_ENDINGS = {1: "stmd", 2: ("re", "ve", "ll")}
+
+
+def _shifted(x: np.ndarray, k: int) -> np.ndarray:
+    """``x[i + k]`` at place i; 0 beyond the end."""
+    out = np.zeros_like(x)
+    out[: max(0, len(x) - k)] = x[k:]
+    return out
+
+
+def pieces(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places where the pieces of a text begin, which of them are whole words, and the bytes to encode.
+
+    A word of letters (ASCII and U+00C0 to U+00FF), digits and marks is cut as the tokenizer
+    cuts it and taken in lower case. Any other word (further scripts, combining marks,
+    control characters, what may be a special token) is one piece and left as it is.
+    """
+    kind = _CLASS[data]
+    latin = data == _LATIN
+    after_latin = np.append(False, latin[:-1])
+    following = _shifted(data, 1)
+    letter = (latin & ~np.isin(following, _NO_LETTERS)) | (after_latin & ~np.isin(data, _NO_LETTERS))
+    kind[letter] = _LETTER
+    space = kind == _SPACE
+    odd = (kind == _OTHER) | ((data == ord("<")) & (following == ord("|")))
+    lower = _LOWER[data]
+    lower[after_latin & letter & (data < 0x9F)] += 0x20
+
+    first = ~space
+    first[1:] &= space[:-1]
+    begin = ~space & (kind == _DIGIT)
+    begin[1:] |= ~space[1:] & (kind[1:] != kind[:-1])
+    mark_before = np.append(False, kind[:-1] == _MARK)
+    apostrophe = np.flatnonzero((data == ord("'")) & ~mark_before)
+    one, two = _shifted(lower, 1)[apostrophe], _shifted(lower, 2)[apostrophe]
+    short = np.isin(one, [ord(c) for c in _ENDINGS[1]])
+    long = np.zeros(len(one), bool)
+    for a, b in _ENDINGS[2]:
+        long |= (one == ord(a)) & (two == ord(b))
+    for chosen, size in ((short, 1), (long & ~short, 2)):
+        at = apostrophe[chosen]
+        begin[at + 1] = False
+        at = at + size + 1
+        at = at[at < len(data)]
+        begin[at] = ~space[at]
+    starts = np.flatnonzero(first)
+    ends = np.append(starts[1:], len(data))
+    found = np.concatenate([[0], np.cumsum(odd)])
+    whole = found[ends] > found[starts]
+    for a, b in zip(starts[whole].tolist(), ends[whole].tolist()):
+        lower[a:b] = data[a:b]
+        begin[a:b] = False
+    begin |= first
+    whole_at = np.zeros(len(data), bool)
+    whole_at[starts[whole]] = True
+    begins = np.flatnonzero(begin)
+    return begins, whole_at[begins], lower
+
+
+class PieceEncoder:
+    """Encodes texts through the tokenizers library, each different piece once.
+
+    The tokenizer drops white space and merges within pieces only, so the ids of a text are
+    those of its pieces in order. Pieces are found for many texts at once, made distinct by
+    Arrow's exact dictionary, and only those not met before go to the library.
     """
 
     def __init__(self, path: str):
@@ -72,9 +140,6 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        split = self.tokenizer.pre_tokenizer.__getstate__().decode()
-        self.pattern = regex.compile(_split_pattern(split))
         # The ids that end a piece: the vocabulary marks them with the end-of-word suffix.
         vocabulary = self.tokenizer.get_vocab()
         suffix = self.tokenizer.model.end_of_word_suffix
@@ -83,60 +148,85 @@ class WordEncoder:
         self.forget()
 
     def forget(self) -> None:
-        self.words: dict[str, int] = {"": 0}
-        self.of_piece: dict[str, np.ndarray] = {}
+        self.codes: dict[str, int] = {}
         self.flat = np.empty(1 << 16, np.uint32)
         self.starts, self.lengths, self.used = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), 0
 
-    def _store(self, word: str, ids: np.ndarray) -> None:
-        n = len(self.words)
-        if n >= len(self.starts):
+    def _store(self, texts: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        n = len(self.codes)
+        while n + len(texts) > len(self.starts):
             self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
         self.flat[self.used : self.used + len(ids)] = ids
-        self.words[word], self.starts[n], self.lengths[n] = n, self.used, len(ids)
+        self.lengths[n : n + len(texts)] = lengths
+        self.starts[n : n + len(texts)] = self.used + np.cumsum(lengths) - lengths
+        self.codes.update(zip(texts, range(n, n + len(texts))))
         self.used += len(ids)
 
-    def _learn(self, words: list[str]) -> None:
-        plain = {w: self.pattern.findall(w.lower()) for w in words if w.isascii() and w.isprintable()}
-        fresh = list({p for found in plain.values() for p in found} - self.of_piece.keys())
-        if fresh:
-            ids = np.array(self.tokenizer.encode(" ".join(fresh), add_special_tokens=False).ids, np.uint32)
-            parts = np.split(ids, np.flatnonzero(self.ends[ids])[:-1] + 1)
-            if len(parts) != len(fresh):  # a tokenizer without end-of-word tokens
-                parts = [
-                    np.array(e.ids, np.uint32)
-                    for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-                ]
-            self.of_piece.update(zip(fresh, parts))
-        others = [w for w in words if w not in plain]
-        for word, got in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)):
-            self._store(word, np.array(got.ids, np.uint32))
-        empty = np.empty(0, np.uint32)
-        for word, found in plain.items():
-            self._store(word, np.concatenate([empty, *map(self.of_piece.__getitem__, found)]))
-
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.words) + len(self.of_piece) > 2 * REMEMBERED:
-            self.forget()
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*split) - self.words.keys()
-        if new:
-            self._learn(list(new))
-        result = []
-        for words in split:
-            codes = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
-            lengths = self.lengths[codes]
-            ends = np.cumsum(lengths)
-            places = np.repeat(self.starts[codes] - (ends - lengths), lengths) + np.arange(ends[-1])
-            result.append(self.flat[places])
-        return result
+    def _learn(self, plain: list[str], words: list[str]) -> None:
+        if plain:
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, np.int64)
+            last = np.flatnonzero(self.ends[ids])
+            if len(last) == len(plain):
+                self._store(plain, ids, np.diff(np.append(-1, last)))
+            else:  # a tokenizer without end-of-word tokens
+                words = plain + words
+        if words:
+            got = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+            flat = np.fromiter((i for ids in got for i in ids), np.int64)
+            self._store(words, flat, np.array([len(ids) for ids in got], np.int64))
+
+    def _part(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        encoded = [t.encode() for t in texts]
+        data = np.frombuffer(b"\n".join([*encoded, b""]), np.uint8)  # a separator after every text
+        bounds = np.concatenate([[0], np.cumsum([len(e) + 1 for e in encoded])])
+        begins, whole, lower = pieces(data)
+        solid = _CLASS[data] != _SPACE
+        offsets = np.concatenate([[0], np.cumsum(solid)])[np.append(begins, len(data))].astype(np.int32)
+        strings = pa.StringArray.from_buffers(len(begins), pa.py_buffer(offsets), pa.py_buffer(lower[solid]))
+        distinct = strings.dictionary_encode()
+        kinds, places = distinct.dictionary.to_pylist(), distinct.indices.to_numpy()
+        is_whole = np.zeros(len(kinds), bool)
+        is_whole[places[whole]] = True
+        plain, words = [], []
+        for text, odd in zip(kinds, is_whole.tolist()):
+            if text not in self.codes:
+                (words if odd else plain).append(text)
+        self._learn(plain, words)
+        codes = np.fromiter(map(self.codes.__getitem__, kinds), np.int64, len(kinds))[places]
+        lengths = self.lengths[codes]
+        ends = np.cumsum(lengths)
+        if not len(ends):
+            return np.empty(0, np.uint32), np.zeros(len(bounds), np.int64)
+        flat = self.flat[np.repeat(self.starts[codes] - (ends - lengths), lengths) + np.arange(ends[-1])]
+        return flat, np.concatenate([[0], ends])[np.searchsorted(begins, bounds)]
+
+    def __call__(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Ids of consecutive texts, some megabytes of text at a time, and their bounds."""
+        k = 0
+        while k < len(texts):
+            if len(self.codes) > REMEMBERED:
+                self.forget()
+            stop, size = k, 0
+            while stop < len(texts) and (stop == k or size + len(texts[stop]) <= SLICE):
+                size += len(texts[stop])
+                stop += 1
+            yield self._part(texts[k:stop])
+            k = stop
 
 
 @lru_cache(maxsize=2)
-def word_encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+def piece_encoder(path: str) -> PieceEncoder:
+    return PieceEncoder(path)
+
+
+def with_end(ids: np.ndarray, bounds: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """The end id after every document."""
+    shift = np.arange(len(bounds))
+    out = np.full(len(ids) + len(bounds) - 1, end_id, "<u4")
+    out[np.arange(len(ids)) + np.repeat(shift[:-1], np.diff(bounds))] = ids
+    return out, bounds + shift
 
 
 class FrameWriter:
@@ -146,7 +236,7 @@ class FrameWriter:
         self.out, self.entries, self.ids = out, [], []
         self.compressor = zstandard.ZstdCompressor(level=1, write_checksum=False)
 
-    def add(self, doc_id: int, data: bytes) -> None:
+    def add(self, doc_id: int, data: bytes | memoryview) -> None:
         frame = self.compressor.compress(data)
         self.out.write(frame)
         self.entries.append((len(frame), len(data), xxhash.xxh64_intdigest(data) & 0xFFFFFFFF))
@@ -210,20 +300,24 @@ def write_tokens(
     folder = folder or f"{shared_dir(docs.sparkSession)}/cohortfit/tokens-{uuid.uuid4().hex}"
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, out, tokens, writer = word_encoder(tokenizer), None, 0, None
+        encoder, out, tokens, writer = piece_encoder(tokenizer), None, 0, None
         name = f"{folder}/{uuid.uuid4().hex}.zst"
         for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                part = batch.slice(k, 512)
-                if out is None:
-                    system, path = _place(name)
-                    system.create_dir(os.path.dirname(path), recursive=True)
-                    out = system.open_output_stream(path, compression=None)
-                    writer = FrameWriter(out)
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                for doc_id, ids in zip(part.column(0).to_pylist(), encoder(texts)):
-                    writer.add(doc_id, np.append(ids, np.uint32(end_id)).astype("<u4").tobytes())
-                    tokens += len(ids) + 1
+            if not batch.num_rows:
+                continue
+            if out is None:
+                system, path = _place(name)
+                system.create_dir(os.path.dirname(path), recursive=True)
+                out = system.open_output_stream(path, compression=None)
+                writer = FrameWriter(out)
+            doc_ids, k = batch.column(0).to_pylist(), 0
+            for ids, bounds in encoder([t or "" for t in batch.column(1).to_pylist()]):
+                ids, bounds = with_end(ids, bounds, end_id)
+                data, edges = memoryview(ids.tobytes()), (bounds * 4).tolist()
+                for a, b in zip(edges, edges[1:]):
+                    writer.add(doc_ids[k], data[a:b])
+                    k += 1
+                tokens += len(ids)
         if out is not None:
             writer.finish()
             out.close()
@@ -236,18 +330,22 @@ def write_tokens(
 
 
 def with_starts(manifest: DataFrame) -> DataFrame:
-    """Adds ``start``, the number of ids in all earlier files.
+    """Adds ``start``, the number of ids in all earlier files, and ``number``, that of the files before.
 
-    A running total in two levels: inside ranges of files, and over the ranges.
+    Running totals in two levels: inside ranges of files, and over the ranges.
     """
     dealt = manifest.repartitionByRange("first_id").withColumn("block", F.spark_partition_id())
     dealt = materialize(dealt, "token-files")
     before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = dealt.groupBy("block").agg(F.sum("n_tokens").alias("total"))
-    blocks = blocks.select("block", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
-    inside = Window.partitionBy("block").orderBy("first_id").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("block").orderBy("first_id", "path").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = lambda column, window: F.coalesce(F.sum(column).over(window), F.lit(0))
+    blocks = dealt.groupBy("block").agg(F.sum("n_tokens").alias("total"), F.count("*").alias("files"))
+    blocks = blocks.select("block", earlier("total", before).alias("base"), earlier("files", before).alias("first"))
     return dealt.join(blocks, "block").select(
-        "path", "n_docs", (F.col("base") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))).alias("start")
+        "path",
+        "n_docs",
+        (F.col("base") + earlier("n_tokens", inside)).alias("start"),
+        (F.col("first") + F.count("*").over(inside)).cast("int").alias("number"),
     )
 
 
@@ -278,7 +376,8 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
                         start += int(ends[-1])
 
     files = with_starts(manifest)
-    return files.mapInArrow(read, "doc_id long, start long, n_tokens long, ids array<int>")
+    each = files.repartitionById(max(1, manifest.count()), F.col("number"))  # one file a task
+    return each.mapInArrow(read, "doc_id long, start long, n_tokens long, ids array<int>")
 
 
 def ids_crc32(ids):

@@ -30,6 +30,7 @@ def rows():
         words(7, 30000),
         "x" * 150_000,
         "12-" * 3000 + "9",
+        "ends <|endoftext|> here, not<|startoftext|>there; it's l'État",
     ]
     out = [(k, t, "en", f"src{k % 3}", None, k, "h", "n", "d") for k, t in enumerate(texts)]
     out += [out[5], out[5]]  # repeated rows

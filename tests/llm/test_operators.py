@@ -78,9 +78,11 @@ def test_byte_bpe(docs, empty):
 
 def test_token_frames(spark, docs, empty, tmp_path):
     tokenizer = Tokenizer.from_file(token_frames.TOKENIZER)
-    tokenizer.encode_special_tokens = True
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     manifest = token_frames.write_tokens(docs)
     read = token_frames.read_tokens(manifest)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert manifest.count() > 1 and read.rdd.getNumPartitions() == manifest.count()
     got = read.select("doc_id", "start", "n_tokens", "ids", token_frames.ids_crc32("ids").alias("crc")).collect()
     want, start = [], 0
     every = sorted((r[0], r[1] or "") for r in rows() if r[0] is not None)
@@ -105,6 +107,24 @@ def test_token_frames(spark, docs, empty, tmp_path):
         token_frames.FrameReader(system.open_input_file(place)).read(0)
 
 
+def test_pieces_equal_the_library():
+    """Random texts of what the tokenizer treats in a special way, many at once and one by one."""
+    tokenizer, encoder = Tokenizer.from_file(token_frames.TOKENIZER), token_frames.PieceEncoder(token_frames.TOKENIZER)
+    signs = [*"abcXYZ '.<|>1239\t\n-", "'s", "'re", "'LL", "'d", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>"]
+    signs += [*"ÉßéÀ×÷İœΣςª½²_", "\u0301", "\u00a0", "\u2028", "\x85", "\x1c", "\x00", "日本", "😀"]
+    r = random.Random(5)
+    texts = ["".join(r.choice(signs) for _ in range(r.randint(0, 40))) for _ in range(4000)]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    got = [ids[a:b].tolist() for ids, bounds in encoder(texts) for a, b in zip(bounds, bounds[1:])]
+    assert got == want
+    assert 49407 in [i for ids in want for i in ids]
+    encoder.forget()
+    for text, ids in zip(texts[:200], want):
+        assert [x.tolist() for x, _ in encoder([text])] == [ids]
+    ids, bounds = token_frames.with_end(np.array([5, 6, 7], np.uint32), np.array([0, 0, 2, 3]), 1)
+    assert ids.tolist() == [1, 5, 6, 1, 7, 1] and bounds.tolist() == [0, 1, 4, 6]
+
+
 def components(texts, links):
     parent = {k: k for k in texts}
 
