@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortfit.functions.hashing import hash01
+from cohortfit.functions.expressions import present
 from cohortfit.operators.groups import Sizes, attach, measure
 from cohortfit.operators.quantiles import BUFFER_CELLS, group_medians
 from cohortfit.schemas import Roles
@@ -28,11 +29,6 @@ def category_text(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(MISSING))
 
 
-def present(column: str) -> Column:
-    """The column with NaN as NULL: both are missing values."""
-    return F.when(~F.isnan(F.col(column)), F.col(column))
-
-
 def encoder_stats(
     df: DataFrame,
     roles: Roles,
@@ -84,7 +80,7 @@ def feature_vector(roles: Roles) -> Column:
     group the encoder was never fitted on has no features at all.
     """
     numerics = [
-        F.coalesce(F.col(c).cast("double"), F.get("medians", F.lit(i)), F.lit(0.0))
+        F.coalesce(present(c).cast("double"), F.get("medians", F.lit(i)), F.lit(0.0))
         for i, c in enumerate(roles.numeric)
     ]
     blocks = [one_hot(c) for c in roles.categorical]

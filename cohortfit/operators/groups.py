@@ -70,24 +70,73 @@ def attach(
         small = F.broadcast(renamed)
         joined = df.join(small, same(df, small, keys), how)
         return joined.drop(*[b for _, b in keys])
-    # At most one hot key per hot_rows rows of the table, so this list stays small.
+    spread, copies, salt = salted(df, renamed, on, right_on=[b for _, b in keys], hot_rows=hot_rows, broadcast_bytes=limit)
+    copied = copies.withColumnRenamed(salt, f"_on{salt}")
+    joined = spread.join(copied, same(spread, copied, [*keys, (salt, f"_on{salt}")]), how)
+    return joined.drop(salt, f"_on{salt}", *[b for _, b in keys])
+
+
+#: Bytes assumed for a key in a list of hot ones.
+KEY_BYTES = 256
+
+
+def salted(
+    df: DataFrame,
+    stats: DataFrame,
+    on: list[str],
+    *,
+    right_on: list[str] | None = None,
+    hot_rows: int = TASK_ROWS,
+    broadcast_bytes: int | None = None,
+) -> tuple[DataFrame, DataFrame, str]:
+    """Both frames with a salt column, and its name: rows of a key with more than
+    ``hot_rows`` rows are dealt over as many salts as it needs, and its row of ``stats``
+    is copied to each. Other keys have salt 0.
+
+    Rows are dealt by their values and the partition they come from, so equal rows
+    spread too and a repeated task deals its rows as before. There is at most one hot
+    key per ``hot_rows`` rows; the list is broadcast only while it is small.
+    """
+    from cohortfit.session import materialize
+
+    right_on = on if right_on is None else right_on
+    names = [f"_hot_{k}" for k in on]
     hot = (
-        df.groupBy(*[F.col(k).alias(f"_hot_{k}") for k in on])
+        df.groupBy(*[F.col(k).alias(n) for k, n in zip(on, names)])
         .agg(F.count("*").alias("_n"))
         .where(F.col("_n") > hot_rows)
         .withColumn("_parts", F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int"))
         .drop("_n")
     )
-    hot = F.broadcast(hot)
+    hot = materialize(hot, "hot-keys")
+    if hot.count() * KEY_BYTES <= (BROADCAST_BYTES if broadcast_bytes is None else max(broadcast_bytes, 1 << 20)):
+        hot = F.broadcast(hot)
     parts = F.coalesce("_parts", F.lit(1))
-    names = [f"_hot_{k}" for k in on]
-    spread = F.pmod(F.xxhash64(*_hashable(df)), parts).cast("int")
-    salted = df.join(hot, same(df, hot, [(k, f"_hot_{k}") for k in on]), "left")
-    salted = salted.withColumn("_salt", spread).drop("_parts", *names)
-    copies = renamed.join(hot, same(renamed, hot, [(f"_on_{k}", f"_hot_{k}") for k in on]), "left")
-    copies = copies.withColumn("_on_salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts", *names)
-    joined = salted.join(copies, same(salted, copies, [*keys, ("_salt", "_on_salt")]), how)
-    return joined.drop("_salt", "_on_salt", *[b for _, b in keys])
+    marked = df.withColumn("_from", F.spark_partition_id())
+    spread = marked.join(hot, same(marked, hot, list(zip(on, names))), "left")
+    dealt = F.pmod(F.xxhash64(*_hashable(df), F.col("_from")), parts).cast("int")
+    spread = spread.withColumn("_salt", dealt).drop("_parts", "_from", *names)
+    copies = stats.join(hot, same(stats, hot, list(zip(right_on, names))), "left")
+    copies = copies.withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts", *names)
+    return spread, copies, "_salt"
+
+
+def numbered(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Adds the 0-based place of every row in the order of ``key``, without one task for all.
+
+    Rows are sorted in ranges; a range starts after the rows of those before it.
+    """
+    from pyspark.sql import Window as W
+
+    from cohortfit.session import materialize
+
+    dealt = materialize(df.repartitionByRange(F.col(key)).withColumn("_range", F.spark_partition_id()), "ranges")
+    before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)  # one row per range
+    starts = dealt.groupBy("_range").agg(F.count("*").alias("_n"))
+    starts = starts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    inside = F.row_number().over(W.partitionBy("_range").orderBy(key)) - 1
+    placed = dealt.withColumn("_inside", inside).join(F.broadcast(starts), "_range")
+    return placed.withColumn(name, F.col("_start") + F.col("_inside")).drop("_range", "_start", "_inside")
 
 
 def _hashable(df: DataFrame) -> list[str]:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from cohortfit.functions.expressions import present
 from cohortfit.operators.groups import Sizes, attach, measure
 from cohortfit.session import materialize
 
@@ -205,9 +206,13 @@ def quartile_bins(
     sizes: Sizes | None = None,
     cells: int = BUFFER_CELLS,
 ) -> DataFrame:
-    """Add the per-group quartile code 0..3 of ``column`` (bins closed on the right)."""
+    """Add the per-group quartile code 0..3 of ``column`` (bins closed on the right).
+
+    NaN is a missing value like NULL: it moves no cut and gets no code.
+    """
     sizes = sizes or measure(df, group)
-    cuts = group_quantiles(df, group, [column], [0.25, 0.5, 0.75], sizes=sizes, cells=cells)
+    values = df.select(group, present(column).alias(column))
+    cuts = group_quantiles(values, group, [column], [0.25, 0.5, 0.75], sizes=sizes, cells=cells)
     joined = attach(
         df,
         cuts.withColumnRenamed(column, "_cuts"),
@@ -215,7 +220,7 @@ def quartile_bins(
         stats_rows=sizes.groups,
         row_bytes=96,
     )
-    x, cut = F.col(column), F.col("_cuts")
+    x, cut = present(column), F.col("_cuts")
     code = (
         F.when(x <= cut[0], 0)
         .when(x <= cut[1], 1)

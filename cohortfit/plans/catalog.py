@@ -30,7 +30,7 @@ from cohortfit.operators.levelwise import (
     histograms,
     with_gradients,
 )
-from cohortfit.operators.quantiles import group_medians, quartile_bins
+from cohortfit.operators.quantiles import quartile_bins
 from cohortfit.operators.score import (
     class_probabilities,
     group_predictions,
@@ -110,6 +110,16 @@ def quartile_codes(spark, folder):
     return quartile_bins(events, GROUP, "value", "quartile").select("event_id", GROUP, "quartile")
 
 
+def events_with_nan(spark, folder):
+    """Every seventh value is not a number, as files of other systems mark a missing one."""
+    value = F.when(F.col("event_id") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("value"))
+    return events_view(spark, folder).withColumn("value", value)
+
+
+def quartile_codes_nan(spark, folder):
+    return quartile_bins(events_with_nan(spark, folder), GROUP, "value", "quartile").select("event_id", GROUP, "quartile")
+
+
 def masked_events(spark, folder):
     return inject_missing(events_view(spark, folder), ["value"], "event_id")
 
@@ -119,14 +129,21 @@ def missing_mask(spark, folder):
 
 
 def median_impute(spark, folder):
-    masked = masked_events(spark, folder)
-    sizes = measure(masked, GROUP)
-    marked = train_test_split(masked, GROUP, "event_id", sizes=sizes)
-    medians = group_medians(marked.where(F.col("split") == "train"), GROUP, ["value"], sizes=sizes)
-    joined = attach(
-        marked, medians.select(GROUP, F.array("value").alias("medians")), [GROUP], stats_rows=sizes.groups, row_bytes=64
-    )
-    filled = impute(joined, Roles(group=GROUP, numeric=("value",)))
+    return _imputed(masked_events(spark, folder))
+
+
+def median_impute_nan(spark, folder):
+    return _imputed(events_with_nan(spark, folder))
+
+
+def _imputed(events):
+    """Medians of the train rows of each group fill the gaps of all its rows."""
+    roles = Roles(group=GROUP, numeric=("value",))
+    sizes = measure(events, GROUP)
+    marked = train_test_split(events, GROUP, "event_id", sizes=sizes)
+    stats = encoder_stats(marked.where(F.col("split") == "train"), roles, sizes=sizes)
+    joined = attach(marked, stats.select(GROUP, "medians"), [GROUP], stats_rows=sizes.groups, row_bytes=64)
+    filled = impute(joined, roles)
     return filled.select("event_id", GROUP, "split", F.round("value", 6).alias("value"))
 
 
@@ -556,7 +573,9 @@ QUERIES = {
     "synth_features_profile": synth_features_profile,
     "quartile_bins": quartile_codes,
     "missing_mask": missing_mask,
+    "quartile_bins_nan": quartile_codes_nan,
     "median_impute": median_impute,
+    "median_impute_nan": median_impute_nan,
     "train_test_split": train_test_rows,
     "split_counts": split_counts,
     "onehot_train_categories": onehot_train_categories,

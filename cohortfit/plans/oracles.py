@@ -40,6 +40,8 @@ EVT_MASKED = f"""{EVT}, masked as (
          case when {h01("'7'", "'value'", txt("event_id"))} >= 0.05 then value end as value
   from evt)"""
 
+EVT_NAN = "evt as (select event_id, event_type, case when event_id % 7 <> 0 then value end as value from events)"
+
 
 def _mask(column: str) -> str:
     return f"case when {h01(repr('7'), repr(column), txt('o_orderkey'))} >= 0.05 then {column} end as {column}"
@@ -450,21 +452,31 @@ select lang, round({precision}, 9) as precision, round({recall}, 9) as recall, r
 
 METRIC_NAMES = [f"{s}_{m}" for s in ("train", "test") for m in ("precision", "recall", "f1", "auc")]
 
+def quartile_sql(events: str) -> str:
+    return f"""with {events}, q as (
+  select event_type, quantile_cont(value, 0.25) as a, quantile_cont(value, 0.5) as b, quantile_cont(value, 0.75) as c
+  from evt group by event_type)
+select event_id, event_type, case when value <= a then 0 when value <= b then 1 when value <= c then 2 when value is not null then 3 end as quartile
+from evt join q using (event_type)"""
+
+
+def impute_sql(events: str, name: str) -> str:
+    return f"""with {events}, m as (select *, {split_case("event_type", "event_id")} as split from {name}),
+d as (select event_type, median(value) as md from m where split = 'train' group by event_type)
+select event_id, event_type, split, round(coalesce(value, md), 6) as value from m join d using (event_type)"""
+
+
 ORACLES = {
     "group_list": """select event_type, printf('group_%02d', row_number() over (order by event_type)) as group_name
 from (select distinct event_type from events)""",
     "feature_projection": f"with {ORD} select segment, label, o_orderpriority, o_totalprice, c_acctbal from ord",
     "group_filter": f"with {ORD} select o_orderkey, o_totalprice from ord where segment = 'BUILDING'",
     "synth_features_profile": _synthetic_profile(),
-    "quartile_bins": f"""with {EVT}, q as (
-  select event_type, quantile_cont(value, 0.25) as a, quantile_cont(value, 0.5) as b, quantile_cont(value, 0.75) as c
-  from evt group by event_type)
-select event_id, event_type, case when value <= a then 0 when value <= b then 1 when value <= c then 2 when value is not null then 3 end as quartile
-from evt join q using (event_type)""",
+    "quartile_bins": quartile_sql(EVT),
+    "quartile_bins_nan": quartile_sql(EVT_NAN),
     "missing_mask": f"with {EVT_MASKED} select event_id, event_type, value from masked",
-    "median_impute": f"""with {EVT_MASKED}, m as (select *, {split_case("event_type", "event_id")} as split from masked),
-d as (select event_type, median(value) as md from m where split = 'train' group by event_type)
-select event_id, event_type, split, round(coalesce(value, md), 6) as value from m join d using (event_type)""",
+    "median_impute": impute_sql(EVT_MASKED, "masked"),
+    "median_impute_nan": impute_sql(EVT_NAN, "evt"),
     "train_test_split": f"with {ORD} select o_orderkey, segment, {split_case('segment', 'o_orderkey')} as split from ord",
     "split_counts": f"""with {ORD}, m as (select segment, {split_case("segment", "o_orderkey")} as split from ord)
 select segment, split, count(*) as n_rows from m group by segment, split""",

@@ -9,12 +9,11 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cohortfit.functions.hashing import hash01
 from cohortfit.operators.encode import inject_missing
-from cohortfit.operators.groups import Sizes
+from cohortfit.operators.groups import Sizes, attach, numbered
 from cohortfit.operators.quantiles import BUFFER_CELLS, quartile_bins
 
 # Workload of the default feature table.
@@ -40,22 +39,21 @@ def name_groups(df: DataFrame, key: str) -> DataFrame:
 
     The distinct keys are the summary of a table; only they are ordered.
     """
-    keys = df.select(key).distinct()
-    return keys.select(
-        key, F.format_string("group_%02d", F.row_number().over(W.orderBy(key))).alias("group_name")
-    )
+    keys = numbered(df.select(key).distinct(), key, "_n")
+    return keys.select(key, F.format_string("group_%02d", F.col("_n") + 1).alias("group_name"))
 
 
 def base_rows(groups: DataFrame, rows_per_group: int = ROWS_PER_GROUP) -> DataFrame:
     """Row numbers for every group; ``id`` is unique over all of them.
 
-    Only the list of groups is numbered as a whole, never the rows.
+    The ids are one range, cut evenly over the cluster's tasks, so a few large groups fill
+    as many tasks as many small ones; each id names its group by its place.
     """
-    place = (F.row_number().over(W.orderBy("group_name")) - 1).cast("bigint")
-    numbered = groups.select("group_name", place.alias("_n")).withColumn(
-        "row", F.explode(F.sequence(F.lit(0), F.lit(rows_per_group - 1)))
-    )
-    return numbered.select("group_name", (F.col("_n") * rows_per_group + F.col("row")).alias("id"))
+    spark = groups.sparkSession
+    places = numbered(groups.select("group_name"), "group_name", "_n")
+    n = groups.count()
+    ids = spark.range(0, n * rows_per_group).withColumn("_n", F.floor(F.col("id") / rows_per_group))
+    return attach(ids, places, ["_n"], stats_rows=n, row_bytes=128, how="inner").select("group_name", "id")
 
 
 def unflipped_class(seed: int, group: Column, row: Column) -> Column:
