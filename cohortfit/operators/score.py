@@ -176,8 +176,3 @@ def with_label_probability(df: DataFrame, probabilities: str = "probabilities")
     """Put the class-1 probability in front of the row's own columns."""
     rest = [c for c in df.columns if c != probabilities]
     return df.select(F.get(probabilities, F.lit(1)).alias("label_probability"), *rest)
-
-
-def scale_column(df: DataFrame, column: str, name: str, factor: float) -> DataFrame:
-    """Apply a stored scalar model ``factor * x`` to one column."""
-    return df.withColumn(name, F.col(column).cast("double") * F.lit(float(factor)))

@@ -34,7 +34,6 @@ from cohortfit.operators.quantiles import quartile_bins
 from cohortfit.operators.score import (
     class_probabilities,
     group_predictions,
-    scale_column,
     score,
     score_raw,
     unscored_groups,
@@ -45,7 +44,6 @@ from cohortfit.plans.train import (
     TuneSpec,
     one_trial,
     prepare,
-    run_stats,
     score_production,
     train_groups,
     train_run,
@@ -396,7 +394,7 @@ def experiment_upsert(spark, folder):
 
 def run_open(spark, folder):
     names = read_table(spark, folder, "documents").select(F.col("source").alias("experiment")).distinct()
-    return R.open_runs(names, "group_model_run", "0")
+    return R.open_runs(names, "one-model-a-group", "0")
 
 
 def register_name(spark, folder):
@@ -444,8 +442,12 @@ def resolve_stage(spark, folder):
 
 
 def scaled_column(spark, folder):
+    """A stored scalar model, found by its name, as a new column."""
+    store = Store(spark, f"{shared_dir(spark)}/cohortfit/column-models-{uuid.uuid4().hex}")
+    store.add_column_model("twice", "x + 1")
+    store.add_column_model("twice", "x * 2")
     rows = orders_view(spark, folder).select("o_orderkey", "o_totalprice")
-    return scale_column(rows, "o_totalprice", "o_totalprice_scaled", 2)
+    return rows.withColumn("o_totalprice_scaled", store.column_model("twice")(F.col("o_totalprice")))
 
 
 # Scoring
@@ -554,7 +556,7 @@ def _project(spark, folder):
 
 def train_run_stats(spark, folder):
     store, run_id, _ = _project(spark, folder)
-    stats = run_stats(store.models(run_id), "lang")
+    stats = store.stats(run_id)
     return stats.withColumn("best_params", F.map_values("best_params"))
 
 

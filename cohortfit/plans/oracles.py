@@ -517,8 +517,8 @@ select b.event_type, md5('run') as run_id, b.trial_id, {", ".join(METRIC_NAMES)}
 from best b join metric m on b.event_type = m.event_type""",
     "guided_search": guided_search(),
     "experiment_upsert": "select distinct source as experiment from documents",
-    "run_open": """select distinct md5(source || ':group_model_run:0') as run_id, source as experiment,
-  'group_model_run' as run_name from documents""",
+    "run_open": """select distinct md5(source || ':one-model-a-group:0') as run_id, source as experiment,
+  'one-model-a-group' as run_name from documents""",
     "register_name": """select distinct lang || '/' || source as name from documents
 where lang || '/' || source not in (
   select lang || '/' || source from documents join labels using (doc_id) where toxic = 1)""",

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortfit.operators import registry
@@ -23,6 +26,7 @@ TABLES = {
     "transitions": struct_of(
         ("seq", T.LongType()), ("name", TEXT), ("version", T.IntegerType()), ("stage", TEXT)
     ),
+    "column_models": struct_of(("name", TEXT), ("version", T.IntegerType()), ("expression", TEXT)),
 }
 
 MODEL_FIELDS = (
@@ -58,8 +62,9 @@ class Store:
         try:
             reader = self.spark.read
             return (reader.schema(TABLES[table]) if table in TABLES else reader).parquet(self.path(table))
-        except AnalysisException:
-            if table not in TABLES:
+        except AnalysisException as error:
+            # Only a table that was never written is empty; a damaged one is an error.
+            if table not in TABLES or error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], TABLES[table])
 
@@ -77,8 +82,15 @@ class Store:
     def add_trials(self, trials: DataFrame) -> None:
         self.append("trials", trials, ("run_id",))
 
+    def add_stats(self, stats: DataFrame) -> None:
+        """Result rows of a run, one per group."""
+        self.append("stats", stats, ("run_id",))
+
     def models(self, run_id: str) -> DataFrame:
-        return self.read("models").where(f"run_id = '{run_id}'")
+        return self.read("models").where(F.col("run_id") == run_id)
+
+    def stats(self, run_id: str) -> DataFrame:
+        return self.read("stats").where(F.col("run_id") == run_id)
 
     def _next_seq(self) -> int:
         last = self.read("versions").select("seq").unionByName(self.read("transitions").select("seq"))
@@ -92,11 +104,37 @@ class Store:
             [(self._next_seq(), name, run_id, f"runs/{run_id}/models")],
             "seq long, name string, run_id string, source string",
         )
-        added = registry.next_versions(self.read("versions"), request, sizes=Sizes(1, 1, 1))
-        version = added.first()["version"]
-        self.append("versions", added)
+        added = registry.next_versions(self.read("versions"), request, sizes=Sizes(1, 1, 1)).collect()  # one row
+        self.append("versions", self.spark.createDataFrame([r.asDict() for r in added], TABLES["versions"]))
+        return added[0]["version"]
+
+    def add_column_model(self, name: str, expression: str) -> int:
+        """Keep a scalar model, an SQL expression over ``x``, as the next version of its name."""
+        if not name.isidentifier():
+            raise ValueError(f"{name!r} cannot name a function")
+        self.spark.range(1).select(F.lit(1.0).alias("x")).select(F.expr(expression).cast("double")).schema  # must resolve
+        known = self.read("column_models").where(F.col("name") == name)
+        version = (known.agg(F.max("version")).first()[0] or 0) + 1
+        self.append("column_models", self.spark.createDataFrame([(name, version, expression)], TABLES["column_models"]))
         return version
 
+    def column_model(self, name: str, version: int | None = None) -> Callable[[Column], Column]:
+        """The model as a function of a column; the newest version if none is given.
+
+        It becomes an SQL function of the session, ``name_v<version>``, which queries can call too.
+        """
+        known = self.read("column_models").where(F.col("name") == name)
+        if version is not None:
+            known = known.where(F.col("version") == version)
+        found = known.orderBy(F.desc("version")).first()
+        if found is None:
+            raise LookupError(f"no column model {name!r}" + ("" if version is None else f" of version {version}"))
+        function = f"{name}_v{found['version']}"
+        self.spark.sql(
+            f"CREATE OR REPLACE TEMPORARY FUNCTION {function}(x DOUBLE) RETURNS DOUBLE RETURN {found['expression']}"
+        )
+        return lambda column: F.call_function(function, column.cast("double"))
+
     def transition(self, name: str, version: int, stage: str = registry.PRODUCTION) -> None:
         row = self.spark.createDataFrame([(self._next_seq(), name, version, stage)], TABLES["transitions"])
         self.append("transitions", row)
