@@ -12,6 +12,17 @@ BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_BYTES = 4 << 20
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores before those that ``df`` has already (in any case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """``session.materialize`` with batches of BATCH_BYTES, unless the session has a bound of its own."""
     conf = df.sparkSession.conf

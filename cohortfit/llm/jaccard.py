@@ -21,14 +21,19 @@ Steps, with everything that grows written or shuffled by Spark:
 4. a set that fills f chunks of a band agrees with a linked one in at least f - differ of
    them. So a pair must have met that often, less the large keys of either set, and a set
    with fewer large keys than that needs none of them: its links all show elsewhere. That
-   settles widespread passages exactly, with counts alone;
+   settles widespread passages exactly, with counts alone; other sets stay members of their
+   rarest large keys only, as many as a link cannot avoid;
 5. the members left at large keys are joined to one of them, another at every key, which
    connects large families by a linear number of pairs;
 6. pairs are filtered by size and short sketch, then verified exactly on the sets;
 7. connected components. Then, for the large keys whose members are not all connected,
-   every unconnected member is compared with all others in tiles of bounded size: first
-   its nearest per component, then, among what is still apart, everything. No link that
-   would connect two components is lost.
+   every unconnected member is compared with all others in tiles of bounded size, by sketch
+   and then by whole sets; a tile returns a forest of verified links between components, so
+   no link that would connect two components is lost and never more come out than went in.
+
+Sets of fewer than 32 shingles have one band without chunks: each shingle is a key, as a
+parity over so few would tell little; counts, sketches and verification are the same. Sets
+are compared by the 64-bit hashes of their shingles.
 
 Defined results: NULL or empty texts (and those of white space only) have no shingles and
 are linked with nothing; a text of fewer words than a shingle has its whole sequence as
@@ -43,11 +48,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from cohortfit.llm.batches import materialize
+from cohortfit.llm.batches import materialize, unused
 from cohortfit.llm.graph import components
 from cohortfit.llm.words import U, Slice, distinct_within, mix, slices, sum_within
 
@@ -57,12 +63,10 @@ SIMILARITY = 75
 
 #: Keys met by at most so many sets give all their pairs.
 SMALL_GROUP = 6
-#: Partners per component that a member of a large key is compared with first.
-NEAREST = 3
 #: One in so many large keys gives a star; the tiles make up for the others.
 STAR_KEYS = 4
-#: Rows and columns of a tile.
-TILE = 4_096
+#: Rows and columns of a tile, and the shingles either holds.
+TILE, TILE_SHINGLES = 4_096, 2_000_000
 #: Bytes of chunk keys that one task sorts.
 BUCKET_BYTES = 32 << 20
 #: Chunk keys a task gathers before it hands them on.
@@ -70,7 +74,7 @@ FLUSH = 700_000
 #: Ids that may be broadcast instead of shuffling texts for them.
 BROADCAST_IDS = 500_000
 
-#: Lower edges of the size bands: single sizes below 32, then a factor of the root of 2.
+#: Lower edges of the size bands: all sizes below 32 are band 0, then a factor of the root of 2.
 EDGES = np.unique(np.ceil(32 * 2 ** (np.arange(0, 58) / 2)).astype(np.int64))
 
 
@@ -328,31 +332,45 @@ def candidate_pairs(blocks: DataFrame, partitions: int) -> DataFrame:
     return blocks.repartitionById(partitions, F.col("bucket")).mapInArrow(paired, "key long, a long, b long, times long")
 
 
+def sizes_allow(a: str, b: str) -> Column:
+    """Whether sets of these sizes can be linked."""
+    return 4 * F.least(a, b) >= 3 * F.greatest(a, b)
+
+
 def _plausible(found: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The pairs that met often enough, and the members that need their large keys."""
+    """The pairs that met often enough, and the members that need their large keys.
+
+    A pair that shares no small key shares at least ``q`` of the ``h`` large keys of either
+    set. With the keys of every set in one order, rare ones first, both then hold a common
+    key among their first h - q + 1, so a set is a member of these alone.
+    """
     large = found.where("b is null").select("key", "a", F.col("key").bitwiseAND(63).alias("band"))
     times_large = large.groupBy(F.col("a").alias("node"), "band").agg(F.count("*").alias("h"))
     both = F.array(F.struct(F.col("own").alias("band"), F.col("in_own").alias("q")), F.struct(F.col("least").alias("band"), F.col("in_least").alias("q")))
-    needs = classes.select("node", "own", F.explode(F.array_distinct(both)).alias("x"))
-    needs = needs.select("node", "own", "x.band", "x.q").join(times_large, ["node", "band"], "left")
-    needs = needs.withColumn("need", F.col("q") - F.coalesce("h", F.lit(0))).select("node", "own", "band", "need", "h")
+    needs = classes.select("node", "n", "own", F.explode(F.array_distinct(both)).alias("x"))
+    needs = needs.select("node", "n", "own", "x.band", "x.q").join(times_large, ["node", "band"], "left")
+    needs = needs.withColumn("need", F.col("q") - F.coalesce("h", F.lit(0))).select("node", "n", "own", "band", "need", "h")
     needs = materialize(needs, "set-needs")
     pairs = found.where("b is not null").groupBy("a", "b", F.col("key").alias("band")).agg(F.sum("times").alias("times"))
     for s in "ab":
-        own = needs.select(F.col("node").alias(s), "band", F.col("own").alias(f"own_{s}"), F.col("need").alias(f"need_{s}"))
+        own = needs.select(F.col("node").alias(s), "band", F.col("own").alias(f"own_{s}"), F.col("need").alias(f"need_{s}"), F.col("n").alias(f"n_{s}"))
         pairs = pairs.join(own, [s, "band"])
     enough = F.col("times") >= F.greatest(F.lit(1), "need_a", "need_b")
-    pairs = pairs.where((F.col("band") == F.least("own_a", "own_b")) & enough).select("a", "b")
-    open_ = needs.where("h is not null and need <= 0").select(F.col("node").alias("a"), "band")
-    return pairs, materialize(large.join(open_, ["a", "band"]).select("key", "a"), "large-keys")
+    pairs = pairs.where((F.col("band") == F.least("own_a", "own_b")) & enough & sizes_allow("n_a", "n_b")).select("a", "b")
+    open_ = needs.where("h is not null and need <= 0")
+    open_ = open_.select(F.col("node").alias("a"), "n", "band", (1 - F.col("need")).alias("first"))
+    sizes = large.groupBy("key").agg(F.count("*").alias("size"))
+    rarest = Window.partitionBy("a", "band").orderBy("size", "key")  # at most as many rows as a set has shingles
+    chosen = large.join(open_, ["a", "band"]).join(sizes, "key").withColumn("rank", F.row_number().over(rarest))
+    return pairs, materialize(chosen.where("rank <= first").select("key", "a", "n"), "large-keys")
 
 
 def _stars(large: DataFrame) -> DataFrame:
     """Every member of a large key with one of them, picked by a hash that differs by key."""
-    pick = F.min(F.struct(F.xxhash64("key", "a").alias("h"), F.col("a").alias("x")))["x"]
+    pick = F.min(F.struct(F.xxhash64("key", "a").alias("h"), F.col("a").alias("x"), "n"))
     large = large.where(F.pmod(F.xxhash64("key"), F.lit(STAR_KEYS)) == 0)
-    centre = large.groupBy("key").agg(pick.alias("centre"))
-    joined = large.join(centre, "key").where("a <> centre")
+    centre = large.groupBy("key").agg(pick.alias("c")).select("key", F.col("c.x").alias("centre"), F.col("c.n").alias("m"))
+    joined = large.join(centre, "key").where((F.col("a") != F.col("centre")) & sizes_allow("n", "m"))
     return joined.select(F.least("a", "centre").alias("a"), F.greatest("a", "centre").alias("b")).distinct()
 
 
@@ -378,24 +396,21 @@ def _may_link(n_a: pa.Array, sketch_a: pa.Array, n_b: pa.Array, sketch_b: pa.Arr
     return pa.array([may_link(*row) for row in zip(*columns)], pa.bool_())
 
 
+def linked(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sets of distinct hashes are similar enough."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= SIMILARITY * (len(a) + len(b) - both)
+
+
 @F.arrow_udf(T.BooleanType())
 def _linked(set_a: pa.Array, set_b: pa.Array) -> pa.Array:
-    out = []
-    for a, b in zip(set_a, set_b):
-        a, b = (np.frombuffer(x.as_buffer(), U) for x in (a, b))
-        both = len(np.intersect1d(a, b, assume_unique=True))
-        out.append(100 * both >= SIMILARITY * (len(a) + len(b) - both))
-    return pa.array(out, pa.bool_())
+    sides = ([np.frombuffer(x.as_buffer(), U) for x in values] for values in (set_a, set_b))
+    return pa.array([linked(a, b) for a, b in zip(*sides)], pa.bool_())
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """The links among ``pairs(a, b)``, by comparing whole sets; written."""
-    sides = [classes.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"s_{s}")) for s in "ab"]
-    near = pairs.distinct().join(sides[0], "a").join(sides[1], "b")
-    near = near.where(_may_link("n_a", "s_a", "n_b", "s_b")).select("a", "b")
-    near = materialize(near, "near-pairs")
-    wanted = near.select(F.col("a").alias("node")).union(near.select("b")).distinct().join(classes, "node")
-    wanted = materialize(wanted.select("node", "doc_id"), "near-sets")
+def _hashes(nodes: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """``node, hashes`` of the wanted nodes, from the whole text of one document each; written."""
+    wanted = materialize(nodes.join(classes, "node").select("node", "doc_id"), "near-sets")
     few = wanted.count() <= BROADCAST_IDS
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -412,73 +427,121 @@ def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFram
                 )
 
     texts = rows.join(F.broadcast(wanted) if few else wanted, "doc_id").select("text", "node")
-    members = materialize(texts.mapInArrow(hashed, "node long, hashes binary").dropDuplicates(["node"]), "near-hashes")
+    return materialize(texts.mapInArrow(hashed, "node long, hashes binary").dropDuplicates(["node"]), "near-hashes")
+
+
+def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """The links among ``pairs(a, b)``, by comparing whole sets; written."""
+    sides = [classes.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"s_{s}")) for s in "ab"]
+    near = pairs.distinct().join(sides[0], "a").join(sides[1], "b")
+    near = near.where(_may_link("n_a", "s_a", "n_b", "s_b")).select("a", "b")
+    near = materialize(near, "near-pairs")
+    members = _hashes(near.select(F.col("a").alias("node")).union(near.select("b")).distinct(), rows, classes)
     sides = [members.select(F.col("node").alias(s), F.col("hashes").alias(f"h_{s}")) for s in "ab"]
     links = near.join(sides[0], "a").join(sides[1], "b").where(_linked("h_a", "h_b"))
     return materialize(links.select("a", "b"), "links")
 
 
-def _left_over(large: DataFrame, labels: DataFrame, classes: DataFrame, nearest: int | None) -> DataFrame | None:
-    """Pairs of unconnected members of the same large key that sizes and sketches allow.
+def plausible(
+    sketches: list[bytes], n: np.ndarray, label: np.ndarray, is_row: np.ndarray
+) -> Iterator[tuple[int, np.ndarray]]:
+    """For every row the members of other components that sizes and sketches allow, closest first."""
+    bits = [np.frombuffer(x, np.uint8) for x in sketches]
+    widths = np.array([len(x) for x in bits])
+    folded: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for w in np.unique(widths).tolist():  # partners are at most one width apart
+        place = np.flatnonzero((widths >= w) & (widths <= 2 * w))
+        folded[w] = place, np.stack([_fold(bits[k], w) for k in place])
+    for k in np.flatnonzero(is_row).tolist():
+        hits, aparts = [], []
+        for w in {int(widths[k]), int(widths[k]) // 2} & folded.keys():
+            place, known = folded[w]
+            apart = np.bitwise_count(known ^ _fold(bits[k], w)).sum(axis=1, dtype=np.int64)
+            good = (7 * apart <= n[place] + n[k]) & (label[place] != label[k])
+            good &= 4 * np.minimum(n[place], n[k]) >= 3 * np.maximum(n[place], n[k])
+            hits.append(place[good])
+            aparts.append(apart[good])
+        yield k, np.concatenate(hits)[np.argsort(np.concatenate(aparts), kind="stable")]
+
+
+def forest(hashes: list[np.ndarray], label: np.ndarray, is_row: np.ndarray) -> list[tuple[int, int]]:
+    """Links that connect what the tile's links connect: at most one less than there are labels.
+
+    Pairs that are connected by then are skipped, the others compared as whole sets.
+    """
+    n = np.array([len(h) for h in hashes])
+    sets = Sets(np.concatenate(hashes), np.concatenate([[0], np.cumsum(n)]))
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = parent.get(up, up)
+            x = up
+        return x
+
+    links = []
+    for k, partners in plausible(sets.sketches(), n, label, is_row):
+        for other in partners.tolist():
+            x, y = root(int(label[k])), root(int(label[other]))
+            if x != y and linked(hashes[k], hashes[other]):
+                parent[max(x, y)] = min(x, y)
+                links.append((k, other))
+    return links
+
+
+def _left_over(large: DataFrame, labels: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame | None:
+    """Links of members of the same large key that are not connected yet; written.
 
     Members outside the key's most frequent component are compared with all members, in
-    tiles of at most about TILE by TILE rows; with ``nearest``, only so many pairs per
-    member and component are returned.
+    tiles of bounded numbers of members and shingles: first by sketches, which leaves the
+    members that any pair needs; then those by their sets. A tile gives a forest of verified
+    links, so what comes out of it is linear in its members, however many are alike.
     """
     known = large.join(labels.withColumnRenamed("node", "a"), "a", "left")
-    known = materialize(known.select("key", "a", F.coalesce("label", "a").alias("label")), "large-labels")
-    counts = known.groupBy("key", "label").agg(F.count("*").alias("c"))
+    known = materialize(known.select("key", "a", "n", F.coalesce("label", "a").alias("label")), "large-labels")
+    drawn = classes.select(F.col("node").alias("a"), "n", "sketch")
+    counts = known.groupBy("key", "label").agg(F.count("*").alias("c"), F.sum("n").alias("n"))
     groups = counts.groupBy("key").agg(
-        F.sum("c").alias("size"), F.max(F.struct("c", "label"))["label"].alias("main"), F.count("*").alias("labels")
-    )
-    split = groups.where("labels > 1").withColumn("tiles", F.ceil(F.col("size") / TILE).cast("int"))
-    members = known.join(split, "key").join(
-        classes.select(F.col("node").alias("a"), "n", "sketch"), "a"
+        F.sum("c").alias("size"),
+        F.sum("n").alias("total"),
+        F.max(F.struct("c", "label"))["label"].alias("main"),
+        F.count("*").alias("labels"),
     )
-    members = materialize(members.select("key", "a", "label", "n", "sketch", "main", "tiles"), "large-open")
+    tiles = F.greatest(F.ceil(F.col("size") / TILE), F.ceil(F.col("total") / TILE_SHINGLES)).cast("int")
+    split = groups.where("labels > 1").select("key", "main", tiles.alias("tiles"))
+    members = materialize(known.join(split, "key").select("key", "a", "label", "main", "tiles"), "large-open")
     if members.isEmpty():
         return None
     own = F.pmod(F.xxhash64("a"), F.col("tiles")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
-    fields = ["key", "a", "label", "n", "sketch"]
-    rows_of = members.where("label <> main").select(*fields, F.lit(True).alias("row"), own.alias("i"), every.alias("j"))
-    columns_of = members.select(*fields, F.lit(False).alias("row"), own.alias("j"), every.alias("i"))
-    tiles = rows_of.unionByName(columns_of)
+    fields = ["key", "a", "label"]
+    is_row = (F.col("label") != F.col("main")).alias("row")
+    # A key of one tile needs each member once; otherwise rows and columns of the tiles are dealt apart.
+    whole = members.where("tiles = 1").select(*fields, is_row, F.lit(0).alias("i"), F.lit(0).alias("j"))
+    rows_of = members.where("tiles > 1 and label <> main").select(*fields, F.lit(True).alias("row"), own.alias("i"), every.alias("j"))
+    columns_of = members.where("tiles > 1").select(*fields, F.lit(False).alias("row"), own.alias("j"), every.alias("i"))
+    dealt = whole.unionByName(rows_of).unionByName(columns_of)
+
+    def involved(table: pa.Table) -> pa.Table:
+        n, label, is_row = (table.column(c).to_numpy() for c in ("n", "label", "row"))
+        met = np.zeros(len(n), bool)
+        for k, partners in plausible(table.column("sketch").to_pylist(), n, label, is_row):
+            met[k] |= len(partners) > 0
+            met[partners] = True
+        return table.select(["key", "i", "j", "a", "label", "row"]).filter(pa.array(met))
 
     def compared(table: pa.Table) -> pa.Table:
-        is_row = table.column("row").to_numpy()
-        node, label, n = (table.column(c).to_numpy() for c in ("a", "label", "n"))
-        sketches = [np.frombuffer(x, np.uint8) for x in table.column("sketch").to_pylist()]
-        widths = np.array([len(x) for x in sketches])
-        folded: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for w in np.unique(widths).tolist():  # partners are at most one width apart
-            place = np.flatnonzero(~is_row & (widths >= w) & (widths <= 2 * w))
-            if len(place):
-                folded[w] = place, np.stack([_fold(sketches[k], w) for k in place])
-        firsts, seconds = [], []
-        for k in np.flatnonzero(is_row).tolist():
-            hits, aparts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-            for w in {len(sketches[k]), len(sketches[k]) // 2} & folded.keys():
-                place, bits = folded[w]
-                apart = np.bitwise_count(bits ^ _fold(sketches[k], w)).sum(axis=1, dtype=np.int64)
-                good = (7 * apart <= n[place] + n[k]) & (label[place] != label[k])
-                good &= 4 * np.minimum(n[place], n[k]) >= 3 * np.maximum(n[place], n[k])
-                hits.append(place[good])
-                aparts.append(apart[good])
-            hit, apart = np.concatenate(hits), np.concatenate(aparts)
-            if nearest is not None and len(hit):
-                order = np.lexsort((apart, label[hit]))
-                hit = hit[order]
-                new = np.flatnonzero(np.append(True, label[hit][1:] != label[hit][:-1]))
-                rank = np.arange(len(hit)) - np.repeat(new, np.diff(np.append(new, len(hit))))
-                hit = hit[rank < nearest]
-            firsts.append(np.minimum(node[hit], node[k]))
-            seconds.append(np.maximum(node[hit], node[k]))
-        none = [np.empty(0, np.int64)]
-        pairs = np.unique(np.stack([np.concatenate(none + firsts), np.concatenate(none + seconds)], axis=1), axis=0)
+        node, label = (table.column(c).to_numpy() for c in ("a", "label"))
+        hashes = [np.frombuffer(x, U) for x in table.column("hashes").to_pylist()]
+        found = forest(hashes, label, table.column("row").to_numpy())
+        pairs = np.array([sorted((node[a], node[b])) for a, b in found], np.int64).reshape(-1, 2)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    return tiles.groupBy("key", "i", "j").applyInArrow(compared, "a long, b long")
+    tile = ["key", "i", "j"]
+    near = dealt.join(drawn, "a").groupBy(*tile).applyInArrow(involved, "key long, i int, j int, a long, label long, row boolean")
+    near = materialize(near, "tile-members")
+    sets = _hashes(near.select(F.col("a").alias("node")).distinct(), rows, classes).withColumnRenamed("node", "a")
+    return materialize(near.join(sets, "a").groupBy(*tile).applyInArrow(compared, "a long, b long").distinct(), "tile-links")
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -495,14 +558,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     pairs, large = _plausible(found, classes)
     links = _verified(pairs.union(_stars(large)), rows, classes)
     labels = materialize(components(links), "labels")
-    for nearest in (NEAREST, None):
-        left = _left_over(large, labels, classes, nearest)
-        if left is None:
-            break
-        more = _verified(left, rows, classes)
-        if not more.isEmpty():
-            links = links.union(more)
-            labels = materialize(components(links), "labels")
+    more = _left_over(large, labels, rows, classes)
+    if more is not None and not more.isEmpty():
+        labels = materialize(components(links.union(more)), "labels")
     known = classes.select("node", "doc_id").join(labels, "node", "left")
     least = known.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
     known = known.join(least, "label", "left").select("node", F.coalesce("least", "doc_id").alias("component_id"))
@@ -517,8 +575,9 @@ def keep_one_per_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     groups = near_duplicates(docs, id_col=id_col, text_col=text_col)
     kept = F.max((F.col("doc_id") == F.col("component_id")).cast("int"))
     dropped = groups.groupBy("doc_id").agg(kept.alias("kept")).where("kept = 0")
-    dropped = materialize(dropped.select(F.col("doc_id").alias("__dropped")), "near-dropped")
+    dropped = materialize(dropped.select("doc_id"), "near-dropped")
     few = dropped.count() <= BROADCAST_IDS
     rows = docs.where(F.col(id_col).isNotNull())
-    same = rows[id_col].cast("long") == F.col("__dropped")
+    dropped = dropped.withColumnRenamed("doc_id", unused(docs, "dropped")[0])
+    same = rows[id_col].cast("long") == dropped[dropped.columns[0]]
     return rows.join(F.broadcast(dropped) if few else dropped, same, "left_anti")
