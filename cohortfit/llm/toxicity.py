@@ -7,11 +7,11 @@ regression on the presence of hashed words and word beginnings, chosen by their
 association with the category.
 
 The fit uses at most ``TRAIN_ROWS`` labelled documents: those of smallest hash, half of
-them of the last category where there are enough, weighted back to the true shares. The
-features of these documents are made by Spark tasks, the fit itself is numpy on the
-driver. Prediction is one Arrow function over whole texts, without a shuffle.
+them of the last category where there are enough, weighted back to the true shares. Spark
+tasks make the features of these documents, count them by category and fold and select the
+best; only those reach the driver, where the fit itself is numpy. Prediction is one Arrow function over whole texts, without a shuffle.
 
-Defined results: a NULL or empty text has only the bias; a label that is NULL or belongs
+Defined results: a NULL or empty text has only the bias; texts of any length are read whole; a label that is NULL or belongs
 to no document is not used; of repeated labels of a document the largest counts; without
 labels of both kinds a category has its constant share (0 without any), and a document is
 flagged only by a model that was trained on both.
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortfit.llm.batches import materialize
 from cohortfit.llm.words import Slice, distinct_within, slices, sum_within
 
 #: Bound of the sample that the classifier is fitted on.
@@ -84,44 +86,58 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _rows(found: np.ndarray, bounds: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The features of the chosen texts."""
-    counts = np.diff(bounds)
-    return found[np.repeat(keep, counts)], np.concatenate([[0], np.cumsum(counts[keep])])
-
-
-def fit_linear(found, bounds, earlier: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 150) -> Linear:
-    """Logistic regression by gradient steps of decreasing size per feature (Adagrad)."""
+@dataclass
+class Sample:
+    """Labelled texts: the selected features of each (sorted), labels (NaN where unknown), weights, folds.
+
+    ``chosen[k, f]`` are the features for category k that were selected without fold f, and
+    with f = FOLDS those selected on all rows.
+    """
+
+    found: np.ndarray
+    bounds: np.ndarray
+    labels: np.ndarray
+    weight: np.ndarray
+    fold: np.ndarray
+    chosen: dict[tuple[int, int], np.ndarray]
+
+    def features(self, keep: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Row and column of every feature of the rows in ``keep`` that has a place."""
+        counts = np.diff(self.bounds)
+        column = place[self.found[np.repeat(keep, counts)]]
+        row = np.repeat(np.arange(int(keep.sum()), dtype=np.int32), counts[keep])
+        used = column >= 0
+        return row[used], column[used]
+
+    def margin(self, model: Linear, keep: np.ndarray, earlier: np.ndarray) -> np.ndarray:
+        counts = np.diff(self.bounds)
+        found = self.found[np.repeat(keep, counts)]
+        return model.margin(found, np.concatenate([[0], np.cumsum(counts[keep])]), earlier)
+
+
+def fit_linear(sample: Sample, keep: np.ndarray, chosen: np.ndarray, earlier: np.ndarray, y: np.ndarray, steps: int = 150) -> Linear:
+    """Logistic regression by gradient steps of decreasing size per feature (Adagrad), on the rows in ``keep``."""
+    y, weight, earlier = y[keep], sample.weight[keep], earlier[keep]
     total = weight.sum()
     share = (weight * y).sum() / total if total else 0.0
     model = Linear(rest=np.zeros(earlier.shape[1]))
     if share in (0.0, 1.0):
         model.bias = -30.0 if share == 0 else 30.0
         return model
-    counts = np.diff(bounds)
-    text = np.repeat(np.arange(len(y)), counts)
-    present = np.bincount(found, minlength=BUCKETS)
-    positive = np.bincount(found, weights=y[text], minlength=BUCKETS)
-    n, p = len(y), y.sum()
-    expected = present * p / n
-    spread = expected * (1 - p / n) * (1 - present / n) + 1e-9
-    strength = np.where(present >= 4, (positive - expected) ** 2 / spread, 0)
-    kept = np.argsort(-strength, kind="stable")[:KEPT]
-    kept = kept[strength[kept] > 8]
-    place = np.full(BUCKETS, -1)
-    place[kept] = np.arange(len(kept))
-    used = place[found] >= 0
-    column, row = place[found][used], text[used]
-    w, b, rest = np.zeros(len(kept)), float(np.log(share / (1 - share))), np.zeros(earlier.shape[1])
-    gw, gb, gr = np.full(len(kept), 1e-8), 1e-8, np.full(earlier.shape[1], 1e-8)
+    place = np.full(BUCKETS, -1, np.int32)
+    place[chosen] = np.arange(len(chosen))
+    row, column = sample.features(keep, place)
+    n, m = len(y), len(chosen)
+    w, b, rest = np.zeros(m), float(np.log(share / (1 - share))), np.zeros(earlier.shape[1])
+    gw, gb, gr = np.full(m, 1e-8), 1e-8, np.full(earlier.shape[1], 1e-8)
     for _ in range(steps):
         margin = b + np.bincount(row, weights=w[column], minlength=n) + earlier @ rest
         error = weight / total * (_sigmoid(margin) - y)
-        dw = np.bincount(column, weights=error[row], minlength=len(kept)) + 1e-5 * w
+        dw = np.bincount(column, weights=error[row], minlength=m) + 1e-5 * w
         db, dr = error.sum(), earlier.T @ error + 1e-5 * rest
         gw, gb, gr = gw + dw**2, gb + db**2, gr + dr**2
         w, b, rest = w - 0.3 * dw / np.sqrt(gw), b - 0.3 * db / np.sqrt(gb), rest - 0.05 * dr / np.sqrt(gr)
-    model.weights[kept] = w
+    model.weights[chosen] = w
     model.bias, model.rest, model.trained = b, rest, True
     return model
 
@@ -140,24 +156,19 @@ def _calibrate(margin: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[f
     return a, c
 
 
-def fit_chain(
-    names: list[str], found: np.ndarray, bounds: np.ndarray, labels: np.ndarray, weight: np.ndarray, fold: np.ndarray
-) -> Chain:
-    """``labels``: one column per category, NaN where unknown; ``fold``: 0 to FOLDS - 1."""
-    models, earlier = [], np.zeros((len(weight), 0))
+def fit_chain(names: list[str], sample: Sample) -> Chain:
+    """Fits the categories in order, each on the out-of-fold log-odds of those before it."""
+    models, earlier = [], np.zeros((len(sample.weight), 0))
     threshold = 0.5
     for k in range(len(names)):
-        known = ~np.isnan(labels[:, k])
-        y = np.nan_to_num(labels[:, k])
-
-        def fitted(chosen):
-            return fit_linear(*_rows(found, bounds, chosen), earlier[chosen], y[chosen], weight[chosen])
-
+        known = ~np.isnan(sample.labels[:, k])
+        y, weight = np.nan_to_num(sample.labels[:, k]), sample.weight
         margin = np.zeros(len(weight))
         for f in range(FOLDS):
-            part = fitted(known & (fold != f))
-            margin[fold == f] = part.margin(*_rows(found, bounds, fold == f), earlier[fold == f])
-        model = fitted(known)
+            part = fit_linear(sample, known & (sample.fold != f), sample.chosen[k, f], earlier, y)
+            held = sample.fold == f
+            margin[held] = sample.margin(part, held, earlier[held])
+        model = fit_linear(sample, known, sample.chosen[k, FOLDS], earlier, y)
         if model.trained:
             model.scale, model.shift = _calibrate(margin[known], y[known], weight[known])
             margin = np.clip(model.scale * margin + model.shift, -30, 30)
@@ -211,14 +222,84 @@ def train(
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     chosen = texts.join(sample, "doc_id").select("text", "doc_id", "h", *categories)
     schema = "doc_id long, h long, " + ", ".join(f"{c} int" for c in categories) + ", found array<int>"
-    rows = chosen.mapInArrow(featured, schema).toArrow().sort_by([("h", "ascending"), ("doc_id", "ascending")])
-    lists = rows.column("found").combine_chunks()
-    found = lists.flatten().to_numpy(zero_copy_only=False)
-    bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]).astype(int)
-    y = np.column_stack([rows.column(c).to_numpy().astype(float) for c in categories]).reshape(-1, len(categories))
+    rows = materialize(chosen.mapInArrow(featured, schema), "toxicity-features")
+    rows = rows.withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(FOLDS)).cast("int"))
+    return fit_chain(categories, _collected(rows.select("doc_id", "h", "fold", *categories, "found"), categories, sizes))
+
+
+def select_features(rows: DataFrame, categories: list[str]) -> dict[tuple[int, int], np.ndarray]:
+    """The features that go best with each category, without each fold and over all rows.
+
+    Counted and ranked in Spark; at most KEPT a category and fold reach the driver.
+    """
+    cells = [(k, c, f) for k, c in enumerate(categories) for f in range(FOLDS)]
+    names = [f"{s}_{k}_{f}" for k, _, f in cells for s in "np"]
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((len(names), BUCKETS), np.int32)
+        for batch in batches:
+            lists, fold = batch["found"], batch["fold"].to_numpy()
+            flat, lengths = lists.flatten().to_numpy(zero_copy_only=False), lists.value_lengths().to_numpy(zero_copy_only=False)
+            for i, (_, c, f) in enumerate(cells):
+                y = pc.fill_null(batch[c], -1).to_numpy(zero_copy_only=False)
+                for j, chosen in enumerate(((fold == f) & (y >= 0), (fold == f) & (y == 1))):
+                    counts[2 * i + j] += np.bincount(flat[np.repeat(chosen, lengths)], minlength=BUCKETS).astype(np.int32)
+        bucket = np.flatnonzero(counts.any(0))
+        values = [pa.array(counts[i, bucket].astype(np.int64)) for i in range(len(names))]
+        yield pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int32)), *values], ["bucket", *names])
+
+    # Per task at most BUCKETS rows; so many in all after the sum.
+    each = rows.mapInArrow(counted, "bucket int, " + ", ".join(f"{n} long" for n in names))
+    counts = materialize(each.groupBy("bucket").agg(*[F.sum(n).alias(n) for n in names]), "toxicity-counts")
+    inside = [(f"n_{k}_{f}", (F.col("fold") == f) & F.col(c).isNotNull()) for k, c, f in cells]
+    inside += [(f"p_{k}_{f}", (F.col("fold") == f) & (F.col(c) == 1)) for k, c, f in cells]
+    total = rows.agg(*[F.count_if(condition).alias(n) for n, condition in inside]).first()
+    best = []
+    out = {}
+    for k, f in [(k, f) for k in range(len(categories)) for f in range(FOLDS + 1)]:
+        out[k, f] = np.empty(0, np.int64)
+        others = [g for g in range(FOLDS) if g != f]
+        n, p = (sum(total[f"{s}_{k}_{g}"] for g in others) for s in "np")
+        if p in (0, n):
+            continue
+        present, positive = (reduce(Column.__add__, [F.col(f"{s}_{k}_{g}") for g in others]) for s in "np")
+        expected = present * (p / n)
+        spread = expected * (1 - p / n) * (1 - present / n) + 1e-9
+        strength = F.when(present >= 4, (positive - expected) ** 2 / spread).otherwise(0.0)
+        ranked = counts.select("bucket", strength.alias("s")).where("s > 8").orderBy(F.col("s").desc(), "bucket").limit(KEPT)
+        best.append(ranked.select(F.lit(k).alias("k"), F.lit(f).alias("f"), "bucket"))
+    found: dict[tuple[int, int], list[int]] = {}
+    if best:
+        for r in reduce(DataFrame.unionByName, best).collect():
+            found.setdefault((r["k"], r["f"]), []).append(r["bucket"])
+    return out | {key: np.array(sorted(values), np.int64) for key, values in found.items()}
+
+
+def _collected(rows: DataFrame, categories: list[str], sizes: dict[int, int]) -> Sample:
+    """The sample with its selected features only: at most ``train_rows`` rows."""
+    chosen = select_features(rows, categories)
+    used = np.zeros(BUCKETS, bool)
+    for buckets in chosen.values():
+        used[buckets] = True
+
+    def narrowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch["found"]
+            flat, ends = lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
+            kept = np.concatenate([[0], np.cumsum(used[flat])])
+            bounds = kept[np.concatenate([[0], ends])].astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat[used[flat]], pa.int32()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], lists], batch.schema.names)
+
+    table = rows.mapInArrow(narrowed, rows.schema).toArrow().sort_by([("h", "ascending"), ("doc_id", "ascending")])
+    lists = table.column("found").combine_chunks()
+    lists = lists if isinstance(lists, pa.Array) else pa.array([], pa.list_(pa.int32()))
+    bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]).astype(np.int64)
+    y = np.column_stack([table.column(c).to_numpy().astype(float) for c in categories]).reshape(-1, len(categories))
     last = y[:, -1] if len(y) else np.zeros(0)
     weight = np.array([sizes.get(c, 0) / max(1, (last == c).sum()) for c in (0, 1)])[last.astype(int)]
-    return fit_chain(categories, found, bounds, y, weight, np.arange(len(last)) % FOLDS)
+    found = lists.flatten().to_numpy(zero_copy_only=False)
+    return Sample(found, bounds, y, weight, table.column("fold").to_numpy(), chosen)
 
 
 def predict(text: Column, chain: Chain) -> Column:
