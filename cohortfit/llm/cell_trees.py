@@ -20,11 +20,11 @@ RATE, RIDGE, LEAST_GAIN, MOST = 0.4, 1.0, 1e-3, 30.0
 
 @dataclass(frozen=True)
 class Cell:
-    """Rows of one description: how many there are, and how many are positive."""
+    """Rows of one description: how many there are, and how many are positive; weights will do."""
 
     codes: tuple[int, ...]
-    n: int
-    positive: int
+    n: float
+    positive: float
 
 
 @dataclass
@@ -94,7 +94,7 @@ def _grow(rows: list[tuple[tuple[int, ...], float, float]], sizes: list[int], de
 
 def merged(cells: Iterable[Cell]) -> list[Cell]:
     """One cell per description, in their order."""
-    sums: dict[tuple[int, ...], list[int]] = {}
+    sums: dict[tuple[int, ...], list[float]] = {}
     for c in cells:
         held = sums.setdefault(c.codes, [0, 0])
         held[0] += c.n
@@ -120,27 +120,29 @@ def boost(cells: list[Cell], sizes: list[int], rounds: int = 20, depth: int = 3)
     return model
 
 
-def out_of_fold(folds: dict[int, list[Cell]], sizes: list[int]) -> list[tuple[float, Cell]]:
+def out_of_fold(folds: dict[int, list[Cell]], sizes: list[int], **fit: int) -> list[tuple[float, Cell]]:
     """Every cell with the score of the trees that were fitted on the other folds."""
     scored = []
     for fold, cells in sorted(folds.items()):
         others = merged(c for other, held in folds.items() if other != fold for c in held)
-        model = boost(others, sizes)
+        model = boost(others, sizes, **fit)
         scored += [(model.score(c.codes), c) for c in cells]
     return scored
 
 
 def threshold(scored: list[tuple[float, Cell]], precision: float, never: float = 2.0) -> float:
-    """The score from which up the precision holds, as low as it can be; ``never`` if there is none.
+    """The score from which up F1 is best, among those where the precision holds; ``never`` if there is none.
 
     It lies halfway between the last cell taken and the first one left, as fits on other rows
-    move scores a little.
+    move scores a little. Ties take fewer cells.
     """
     n = p = 0
-    cut, rows = never, sorted(scored, key=lambda x: -x[0])
+    cut, best, rows = never, 0.0, sorted(scored, key=lambda x: -x[0])
+    positive = sum(c.positive for _, c in rows)
     for k, (score, c) in enumerate(rows):
         n, p = n + c.n, p + c.positive
         last = k + 1 == len(rows) or rows[k + 1][0] < score
-        if last and p / (n + 1) >= precision:
-            cut = score if k + 1 == len(rows) else (score + rows[k + 1][0]) / 2
+        f1 = 2 * p / (n + positive)
+        if last and p / (n + 1) >= precision and f1 > best + 1e-9:
+            cut, best = score if k + 1 == len(rows) else (score + rows[k + 1][0]) / 2, f1
     return cut

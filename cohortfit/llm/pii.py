@@ -1,37 +1,48 @@
 """Personal data in texts: pattern matches, and further spans chosen by boosted trees.
 
 Base spans are the validated matches of one pattern per kind. Beside them, high-recall
-generators propose candidates, which may overlap each other: anything around an @, dotted
-numbers, digit groups with any separator, numbers that look dialled. A candidate is
-described by a few small integers on its format and context. Gradient-boosted trees learn
-which descriptions go with validated matches (a candidate is positive if it holds a
-validated match of its kind), without seeing the validation itself; candidates that no
-pattern accepts are then redacted if their calibrated score passes the threshold of their
-kind, the lowest at which out-of-fold precision reaches ``PRECISION``.
+generators propose candidates, which may overlap each other: anything around an @ or an
+"(at)", dotted numbers, digit groups with any separator, numbers that look dialled. They
+are there to find what is written or copied wrongly and what the patterns do not know:
+cards with a wrong digit or other separators, phones without a plus, addresses with a
+bracketed at, IPs with a part too large.
+
+A candidate is described by a few small integers on its format and context. Boosted trees
+learn from examples that the patterns do not decide. Positive ones are corrupted copies of
+the corpus's own validated matches, each in the surroundings of its match (``corrupted``).
+Negative ones are numbers, dates, versions, codes and handles made from digests and put at
+a random place of every document (``harmless``), and what the generators of the other kinds
+propose around a corrupted copy. Candidates are proposed by the same generators as in texts. Per kind, negatives count as much as positives in total;
+a candidate is redacted if its score passes the threshold of its kind, the one of best F1
+out of fold on such a balanced set among those of a precision of ``PRECISION`` or more.
 
 Everything is DataFrame functions. Texts are read once, row by row and without a shuffle.
 The trees need only the numbers of positives and candidates per description, counted over
-all documents; there are at most as many descriptions as the grid has cells, so the fit
-on the driver does not grow with the data. Trees are applied as CASE expressions.
+all documents; there are at most as many descriptions as the grid has cells (``CELLS`` a
+fold, some 200 bytes each as rows on the driver), so the fit does not grow with the data.
+Trees are applied as CASE expressions.
 
 Patterns are written so that Java's matcher never scans a run twice: a match may start
 only at the beginning of a run or where the last match ended. They accept exactly what
 the plain forms in ``PLAIN`` accept.
 
-Defined results: a NULL or empty text has no spans; rows without an id are left out;
-repeated rows give repeated results; with no positive candidate of a kind, none of that
-kind is added.
+Defined results: a NULL or empty text has no spans; texts of any length are read whole; rows
+without an id are left out; repeated rows give repeated results; a candidate that overlaps a
+base span of any kind is not added, those that overlap only each other are all added, in
+order of start, kind and end, and are redacted as one stretch of the first one's kind; with
+no match of a kind in the corpus, none of that kind is added.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from math import exp, log
+from math import prod
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortfit.session import materialize
+from cohortfit.llm.batches import materialize
+from cohortfit.llm.cell_trees import Boosted, Cell, boost, merged, out_of_fold, threshold
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -53,14 +64,14 @@ BASE = {
 
 #: Candidates of each kind.
 LOOSE = {
-    "email": r"(?:\G|(?<![^\x20\x09-\x0D@<>,;:\"()]))[^\x20\x09-\x0D@<>,;:\"()]++@[^\x20\x09-\x0D@<>,;:\"()]++",
+    "email": r"(?:\G|(?<![^\x20\x09-\x0D@<>,;:\"()\[\]]))[^\x20\x09-\x0D@<>,;:\"()\[\]]++(?:@|\x20?[(\[]at[)\]]\x20?)[^\x20\x09-\x0D@<>,;:\"()\[\]]++",
     "ip": r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){2,}+",
     "card": r"[0-9](?:[\x20./_-]?[0-9]){9,}+",
     "phone": r"[+(]?+[0-9](?:[\x20().-]{0,3}+[0-9]){6,}+",
 }
 
 #: A text without this cannot hold a match of the kind; spares most texts the matcher.
-NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9]", "phone": "[0-9]"}
+NEEDS = {"email": r"@|[(\[]at[)\]]", "ip": r"[0-9]\.[0-9]", "card": "[0-9]", "phone": "[0-9]"}
 
 #: Words before a candidate that speak for a kind, by class.
 CONTEXT = (
@@ -72,10 +83,16 @@ CONTEXT = (
 WINDOW = 24
 
 #: Codes per feature; their product bounds the number of descriptions.
-FEATURES = {"kind": 4, "digits": 6, "groups": 5, "marks": 8, "plus": 2, "left": 3, "right": 3, "context": 5, "domain": 3}
+FEATURES = {"kind": 4, "digits": 8, "groups": 6, "marks": 8, "plus": 2, "left": 3, "right": 3, "context": 5, "domain": 3}
+SIZES = list(FEATURES.values())
+CELLS = prod(SIZES)
+#: Most digits of the codes of ``digits``, the last being open.
+DIGIT_ENDS = (6, 8, 11, 13, 15, 16, 19)
 
 PRECISION = 0.9
 FOLDS = 3
+#: Trees deep enough to tell a format of one kind from the same of another.
+FIT = {"rounds": 30, "depth": 4}
 
 #: Spans are summed up in chunks of so many, as appending to an array copies it.
 CHUNK = 128
@@ -162,12 +179,19 @@ def valid(kind: str, text: Column) -> Column:
     return F.lit(True)
 
 
-def base_spans(text: Column, kind: str) -> Column:
+def base_matches(text: Column, kind: str) -> Column:
     needs = r"\+[0-9]" if kind == "phone" else NEEDS[kind]
-    found = F.filter(matches(text, BASE[kind], needs), lambda m: valid(kind, m["text"]))
+    return F.filter(matches(text, BASE[kind], needs), lambda m: valid(kind, m["text"]))
+
+
+def _spans(found: Column, kind: str) -> Column:
     return F.transform(found, lambda m: _span(m, kind))
 
 
+def base_spans(text: Column, kind: str) -> Column:
+    return _spans(base_matches(text, kind), kind)
+
+
 def _span(m: Column, kind: str) -> Column:
     rank = F.lit(KINDS.index(kind)).alias("rank")
     return F.struct(m["start"].alias("start"), rank, m["end"].alias("end"), F.lit(kind).alias("kind"))
@@ -189,14 +213,14 @@ def candidates(text: Column, kind: str) -> Column:
         held = F.exists(F.regexp_extract_all(t, F.lit(BASE[kind]), F.lit(0)), lambda x: valid(kind, x))
         codes = {
             "kind": F.lit(KINDS.index(kind)),
-            "digits": F.when(n < 7, 0).when(n < 9, 1).when(n < 12, 2).when(n < 16, 3).when(n < 20, 4).otherwise(5),
-            "groups": F.least(F.size(F.regexp_extract_all(t, F.lit("[0-9]+"), F.lit(0))), F.lit(4)),
+            "digits": sum((n > end).cast("int") for end in DIGIT_ENDS),
+            "groups": F.least(F.size(F.regexp_extract_all(t, F.lit("[0-9]+"), F.lit(0))), F.lit(5)),
             "marks": t.contains(" ").cast("int") + t.rlike("[()/_-]").cast("int") * 2 + t.contains(".").cast("int") * 4,
             "plus": t.startswith("+").cast("int"),
             "left": _edge(F.right(m["before"], F.lit(1))),
             "right": _edge(m["after"]),
             "context": context,
-            "domain": F.when(t.rlike(r"@.*\.[A-Za-z]{2,}$"), 2).when(t.rlike(r"@.*\."), 1).otherwise(0),
+            "domain": F.when(t.rlike(r"(?:@|at[)\]]).*\.[A-Za-z]{2,}+$"), 2).when(t.rlike(r"(?:@|at[)\]]).*\."), 1).otherwise(0),
         }
         return F.struct(
             _span(m, kind).alias("span"), held.alias("held"), *[v.cast("int").alias(k) for k, v in codes.items()]
@@ -205,143 +229,152 @@ def candidates(text: Column, kind: str) -> Column:
     return F.transform(matches(text, LOOSE[kind], NEEDS[kind]), described)
 
 
-@dataclass
-class Tree:
-    """A split ``feature <= cut`` with two branches, or a leaf."""
-
-    value: float = 0.0
-    feature: str = ""
-    cut: int = 0
-    low: Tree | None = None
-    high: Tree | None = None
-
-    def at(self, cell: dict) -> float:
-        if self.low is None:
-            return self.value
-        return (self.low if cell[self.feature] <= self.cut else self.high).at(cell)
-
-    def column(self, c: Column) -> Column:
-        if self.low is None:
-            return F.lit(self.value)
-        return F.when(c[self.feature] <= self.cut, self.low.column(c)).otherwise(self.high.column(c))
-
-
-def _grow(cells: list[tuple[dict, float, float]], depth: int) -> Tree:
-    """``cells``: description, gradient and curvature; second-order gain, ties to the first split."""
-    g, h = sum(x[1] for x in cells), sum(x[2] for x in cells)
-    best, found = 1e-3, None
-    for feature, codes in FEATURES.items() if depth else ():
-        sums = [[0.0, 0.0] for _ in range(codes)]
-        for cell, dg, dh in cells:
-            sums[cell[feature]][0] += dg
-            sums[cell[feature]][1] += dh
-        lg = lh = 0.0
-        for cut in range(codes - 1):
-            lg, lh = lg + sums[cut][0], lh + sums[cut][1]
-            gain = lg**2 / (lh + 1) + (g - lg) ** 2 / (h - lh + 1) - g**2 / (h + 1)
-            if gain > best:
-                best, found = gain, (feature, cut)
-    if found is None:
-        return Tree(value=g / (h + 1) * 0.4)
-    feature, cut = found
-    sides = [[x for x in cells if (x[0][feature] <= cut) == low] for low in (True, False)]
-    return Tree(feature=feature, cut=cut, low=_grow(sides[0], depth - 1), high=_grow(sides[1], depth - 1))
-
-
-@dataclass
-class Boosted:
-    base: float
-    trees: list[Tree]
-
-    def score(self, cell: dict) -> float:
-        margin = self.base + sum(t.at(cell) for t in self.trees)
-        return 1 / (1 + exp(-max(-30.0, min(30.0, margin))))
-
-    def column(self, c: Column) -> Column:
-        margin = F.lit(self.base)
-        for tree in self.trees:
-            margin = margin + tree.column(c)
-        return 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), margin))))
-
-
-def boost(cells: list[tuple[dict, int, int]], rounds: int = 20, depth: int = 3) -> Boosted:
-    """Trees on ``description, candidates, positives`` per cell, by logistic loss."""
-    n, p = sum(x[1] for x in cells), sum(x[2] for x in cells)
-    model = Boosted(log((p + 0.5) / (n - p + 0.5)), [])
-    if p in (0, n):
-        return model
-    margins = [model.base] * len(cells)
-    for _ in range(rounds):
-        rows = []
-        for (cell, count, positive), margin in zip(cells, margins):
-            q = 1 / (1 + exp(-max(-30.0, min(30.0, margin))))
-            rows.append((cell, positive - count * q, count * q * (1 - q)))
-        tree = _grow(rows, depth)
-        model.trees.append(tree)
-        margins = [m + tree.at(cell) for m, (cell, _, _) in zip(margins, cells)]
-    return model
-
-
-def thresholds(scored: list[tuple[str, float, int, int]], precision: float = PRECISION) -> dict[str, float]:
-    """Per kind the lowest score from which up precision holds; above 1 if there is none."""
-    cuts = {}
+#: Ways to corrupt a match, all of them used, and kinds of harmless strings, one per document.
+VARIANTS = 3
+
+
+def _one_of(forms: list[Column], variant: Column) -> Column:
+    out = forms[-1]
+    for k in range(len(forms) - 2, -1, -1):
+        out = F.when(variant == k, forms[k]).otherwise(out)
+    return out
+
+
+def corrupted(kind: str, text: Column, variant: Column) -> Column:
+    """A match as it might be mistyped, misread or disguised."""
+    if kind == "email":
+        return F.replace(text, F.lit("@"), _one_of([F.lit(form) for form in (" (at) ", "[at]", "(at)")], variant))
+    if kind == "ip":  # a part that no byte holds, first or last
+        parts = F.transform(F.split(text, r"\."), lambda part, i: F.when(
+            i == F.when(variant == 0, 0).otherwise(variant + 1), (part.cast("decimal(38,0)") + 256).cast("string")
+        ).otherwise(part))
+        return F.array_join(parts, ".")
+    if kind == "card":  # a wrong digit, or other separators
+        last = ((F.right(text, F.lit(1)).cast("int") + 1 + 3 * variant) % 10).cast("string")
+        wrong = F.concat(F.left(text, F.length(text) - 1), last)
+        return F.when(variant < 2, wrong).otherwise(F.regexp_replace(_digits(text), "([0-9]{4})(?=[0-9])", "$1."))
+    without = F.substring(text, F.lit(2), F.length(text))
+    return _one_of([F.concat(F.lit("00"), without), without, F.concat(F.lit("("), F.replace(without, F.lit("("), F.lit("")))], variant)
+
+
+def harmless(kind: str, seed: Column, variant: Column) -> Column:
+    """A string of the kind's characters that is no personal data, from a digest."""
+    number = lambda salt, most: F.pmod(F.xxhash64(seed, F.lit(f"{kind}{salt}")), F.lit(most))
+    digits = F.concat(*[F.lpad(number(f"d{k}", 10**15).cast("string"), 15, "0") for k in range(2)])
+    code = F.md5(F.concat(seed.cast("string"), F.lit(kind)))
+    if kind == "email":  # handles, mentions, sums with an at
+        forms = [(0, "@", 6), (3, "@", 6), (2, "(at)", 1)]
+        return _one_of([F.concat(F.left(code, F.lit(a)), F.lit(at), F.right(code, F.lit(b))) for a, at, b in forms], variant)
+    date = F.concat_ws("." if kind == "ip" else "-", *[number(f"p{k}", most).cast("string") for k, most in enumerate((31, 12, 40))])
+    some = F.left(digits, 1 + number("n", 28).cast("int"))  # a number of any length
+    if kind == "ip":  # an outline number of three or of five to eight parts
+        few = F.when(number("n", 2) == 0, 5).otherwise(9 + 2 * number("m", 4)).cast("int")
+        some = F.left(F.regexp_replace(F.left(digits, F.lit(9)), "([0-9])(?=[0-9])", "$1."), few)
+    article = F.concat(F.left(digits, 8 + number("n", 4).cast("int")), F.left(code, F.lit(9)))
+    return _one_of([date, some, article], variant)
+
+
+def _example(before: Column, text: Column, after: Column, kind: str) -> Column:
+    """The candidates that the generator of the kind proposes in this place."""
+    padded = F.concat(before, text, after)
+    inside = lambda c: (c["span"]["start"] < F.length(before) + F.length(text)) & (c["span"]["end"] > F.length(before))
+    return F.filter(candidates(padded, kind), lambda c: inside(c) & ~c["held"])
+
+
+def examples(found: DataFrame) -> DataFrame:
+    """``fold, positive`` and the description of every example, from rows of ``scanned``."""
+    out = []
+    ways = F.explode(F.sequence(F.lit(0), F.lit(VARIANTS - 1))).alias("v")
     for kind in KINDS:
-        n = p = 0
-        cuts[kind] = 2.0
-        rows = sorted((x for x in scored if x[0] == kind), key=lambda x: -x[1])
-        for k, (_, score, count, positive) in enumerate(rows):
-            n, p = n + count, p + positive
-            last = k + 1 == len(rows) or rows[k + 1][1] < score
-            if last and p / (n + 1) >= precision:
-                cuts[kind] = score
-    return cuts
+        near = found.select("fold", F.explode(f"valid_{kind}").alias("m")).select("fold", "m", ways)
+        copy = near.select("fold", F.col("m.before").alias("before"), corrupted(kind, F.col("m.text"), F.col("v")).alias("t"), F.col("m.after").alias("after"))
+        place = [F.col("before"), F.col("t"), F.col("after")]
+        every_kind = F.explode(F.concat(*[_example(*place, k) for k in KINDS])).alias("c")
+        out.append(copy.select("fold", every_kind).select("fold", (F.col("c.kind") == KINDS.index(kind)).alias("positive"), "c"))
+        variant = F.pmod(F.xxhash64("doc_id", F.lit(kind)), F.lit(VARIANTS))
+        text = harmless(kind, F.col("doc_id"), variant).alias("t")
+        far = found.select("fold", F.col("place.before").alias("before"), text, F.col("place.after").alias("after"))
+        out.append(far.select("fold", F.lit(False).alias("positive"), F.explode(_example(*place, kind)).alias("c")))
+    every = out[0]
+    for more in out[1:]:
+        every = every.unionByName(more)
+    return every.select("fold", "positive", *[F.col("c")[n].alias(n) for n in FEATURES])
 
 
 @dataclass
 class Detector:
+    """``recall`` is that of out-of-fold examples per kind at the threshold."""
+
     model: Boosted
     cuts: dict[str, float]
+    recall: dict[str, float]
 
     def accepts(self, c: Column) -> Column:
-        """Whether a candidate without a validated match is redacted."""
+        names = list(FEATURES)
         cut = F.element_at(F.array(*[F.lit(self.cuts[k]) for k in KINDS]), c["kind"] + 1)
-        return ~c["held"] & (self.model.column(c) >= cut)
+        return self.model.column(lambda k: c[names[k]]) >= cut
+
+
+def balanced(cells: list[Cell]) -> list[Cell]:
+    """Cells whose negatives weigh as much as their positives in every kind."""
+    out = []
+    for kind in range(len(KINDS)):
+        own = [c for c in cells if c.codes[0] == kind]
+        positive, n = sum(c.positive for c in own), sum(c.n for c in own)
+        share = positive / (n - positive) if n > positive else 1.0
+        out += [Cell(c.codes, c.positive + (c.n - c.positive) * share, c.positive) for c in own]
+    return [c for c in out if c.n > 0]
 
 
 def train(found: DataFrame) -> Detector:
-    """Counts the descriptions of all candidates and fits the trees."""
+    """Counts the descriptions of all examples and fits the trees."""
     names = list(FEATURES)
-    each = found.select((F.crc32(F.col("doc_id").cast("string")) % FOLDS).alias("fold"), F.explode("candidates").alias("c"))
-    counted = each.groupBy("fold", *[F.col("c")[n].alias(n) for n in names]).agg(
-        F.count("*").alias("n"), F.count_if(F.col("c.held")).alias("p")
+    counted = examples(found).groupBy("fold", *names).agg(F.count("*").alias("n"), F.count_if("positive").alias("p"))
+    folds: dict[int, list[Cell]] = {}
+    for r in counted.orderBy("fold", *names).collect():  # at most FOLDS times CELLS rows
+        folds.setdefault(r["fold"], []).append(Cell(tuple(r[n] for n in names), r["n"], r["p"]))
+    folds = {k: balanced(cells) for k, cells in folds.items()}
+    scored = out_of_fold(folds, SIZES, **FIT) if len(folds) > 1 else []
+    cuts, recall = {}, {}
+    for k, kind in enumerate(KINDS):
+        own = [(score, c) for score, c in scored if c.codes[0] == k]
+        cuts[kind] = threshold(own, PRECISION)
+        all_ = sum(c.positive for _, c in own)
+        recall[kind] = sum(c.positive for score, c in own if score >= cuts[kind]) / all_ if all_ else 0.0
+    cells = merged(c for held in folds.values() for c in held)
+    return Detector(boost(cells, SIZES, **FIT), cuts, recall)
+
+
+def scanned(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Base spans, candidates, validated matches with their surroundings, and a random place of every text; written."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    at = F.pmod(F.xxhash64(F.col(id_col), F.lit("place")), F.length(text) + 1).cast("int")
+    place = F.struct(
+        F.substring(text, F.greatest(at - WINDOW + 1, F.lit(1)), F.least(at, F.lit(WINDOW))).alias("before"),
+        F.substring(text, at + 1, F.lit(1)).alias("after"),
+    )
+    named = docs.where(F.col(id_col).isNotNull())
+    rows = named.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        *[base_matches(text, k).alias(f"valid_{k}") for k in KINDS],
+        F.concat(*[candidates(text, k) for k in KINDS]).alias("candidates"),
+        place.alias("place"),
     )
-    rows = counted.orderBy("fold", *names).collect()  # at most FOLDS times the cells of the grid
-    cells = [({k: r[k] for k in names}, r["n"], r["p"]) for r in rows]
-    scored = []
-    for fold in range(FOLDS):
-        model = boost([c for c, r in zip(cells, rows) if r["fold"] != fold]) if cells else None
-        scored += [
-            (KINDS[c["kind"]], model.score(c), n, p) for (c, n, p), r in zip(cells, rows) if r["fold"] == fold
-        ]
-    merged: dict[tuple, list] = {}
-    for cell, n, p in cells:
-        entry = merged.setdefault(tuple(cell.values()), [cell, 0, 0])
-        entry[1], entry[2] = entry[1] + n, entry[2] + p
-    return Detector(boost([tuple(x) for x in merged.values()]), thresholds(scored))
+    base = F.concat(*[_spans(F.col(f"valid_{k}"), k) for k in KINDS])
+    fold = (F.crc32(F.col("doc_id").cast("string")) % FOLDS).cast("int")
+    return materialize(rows.withColumns({"base": F.array_sort(base), "fold": fold}), "pii-candidates")
 
 
 def detect(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, base, spans``: arrays of ``start, rank, end, kind`` in order of start and kind."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    found = docs.where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("doc_id"),
-        F.array_sort(F.concat(*[base_spans(text, k) for k in KINDS])).alias("base"),
-        F.concat(*[candidates(text, k) for k in KINDS]).alias("candidates"),
-    )
-    found = materialize(found, "pii-candidates")
-    detector = train(found)
-    added = F.transform(F.filter("candidates", detector.accepts), lambda c: c["span"])
-    return found.select("doc_id", "base", F.array_sort(F.concat("base", added)).alias("spans"))
+    return with_added(found := scanned(docs, id_col=id_col, text_col=text_col), train(found))
+
+
+def with_added(found: DataFrame, detector: Detector) -> DataFrame:
+    clear = lambda c: ~F.exists("base", lambda s: (s["start"] < c["span"]["end"]) & (c["span"]["start"] < s["end"]))
+    open_ = found.select("doc_id", "base", F.filter("candidates", lambda c: ~c["held"] & clear(c)).alias("open"))
+    added = F.transform(F.filter("open", detector.accepts), lambda c: c["span"])
+    return open_.select("doc_id", "base", F.array_sort(F.concat("base", added)).alias("spans"))
 
 
 def count_of(spans: Column, kind: str) -> Column:

@@ -56,6 +56,8 @@ def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
         *counts,
         F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"),
         pii.joined(F.col("spans")).alias("spans"),
+        F.size("spans").cast("long").alias("n_spans"),
+        (F.size("spans") > 0).alias("private"),
     )
 
 

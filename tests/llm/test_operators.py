@@ -249,14 +249,6 @@ def test_pii(docs, empty):
     assert pii.detect(empty).count() == 0
 
 
-def test_pii_trees_choose_by_precision():
-    cell = dict.fromkeys(pii.FEATURES, 0)
-    good, bad = {**cell, "context": 1}, {**cell, "context": 3}
-    model = pii.boost([(good, 100, 98), (bad, 100, 2)])
-    cuts = pii.thresholds([("email", model.score(c), 100, p) for c, p in ((good, 98), (bad, 2))])
-    assert model.score(bad) < cuts["email"] <= model.score(good) and cuts["ip"] > 1
-
-
 def test_mixing(spark, docs, empty):
     columns = {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.text_form(F.coalesce("text", F.lit("")))}
     table = spark.range(4000).select(
