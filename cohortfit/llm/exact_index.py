@@ -18,14 +18,17 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from cohortfit.session import materialize, shared_dir
+from cohortfit.llm.batches import materialize, unused
+from cohortfit.session import shared_dir
 
 #: A digest held by more than this share of a batch's documents is joined by broadcast:
 #: there are at most 1 / HOT_SHARE such digests, whatever the size of the batch.
 HOT_SHARE = 1 / 1000
 
+#: Documents (some 60 bytes each) that are broadcast instead of shuffling texts for them.
+BROADCAST_IDS = 500_000
+
 
 def text_digest(text: Column) -> Column:
     """SHA-256 of the UTF-8 text as 32 bytes."""
@@ -52,6 +55,10 @@ class DigestIndex:
         """An empty index in the shared folder."""
         return cls(spark, f"{shared_dir(spark)}/cohortfit/digest-index-{uuid.uuid4().hex}", buckets)
 
+    def drop(self) -> None:
+        """Forget the table; its files stay."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
     def table(self) -> DataFrame:
         return self.spark.table(self.name)
 
@@ -92,14 +99,31 @@ def deduplicate(docs: DataFrame, index: DigestIndex, *, id_col: str = "doc_id",
 def keep_first_copies(
     docs: DataFrame, index: DigestIndex, *, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs`` that stay, each once, with all their columns."""
-    kept = deduplicate(docs, index, id_col=id_col, text_col=text_col).where("kept")
-    kept = kept.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"))
-    rows = docs.withColumns({"__id": F.col(id_col).cast("long"), "__digest": text_digest(F.col(text_col))})
-    once = Window.partitionBy("__id", "__digest").orderBy(F.lit(0))
-    return (
-        rows.join(kept, ["__id", "__digest"], "left_semi")
-        .withColumn("__row", F.row_number().over(once))
-        .where("__row = 1")
-        .drop("__id", "__digest", "__row")
-    )
+    """The rows of ``docs`` that stay, each once, with all their columns.
+
+    The digests decide; texts move only for what has to be found among them: few dropped or
+    repeated documents are broadcast, so that no text is shuffled, more are met by a join.
+    Of rows with the same id and text the least one by all columns stays (maps compare as text).
+    """
+    decided = materialize(deduplicate(docs, index, id_col=id_col, text_col=text_col), "digests-decided")
+    own_id, own_digest = unused(docs, "id", "digest")
+    rows = docs.where(F.col(id_col).isNotNull())
+    rows = rows.withColumns({own_id: F.col(id_col).cast("long"), own_digest: text_digest(F.col(text_col))})
+    key = [own_id, own_digest]
+    named = [F.col("doc_id").alias(own_id), F.col("digest").alias(own_digest)]
+    dropped = _sized(decided.where(~F.col("kept")).select(*named))
+    counted = rows.select(*key).groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    repeated = _sized(materialize(counted, "digests-repeated").join(dropped, key, "left_anti"))
+    kept = rows.join(dropped, key, "left_anti")
+    once = kept.join(repeated, key, "left_anti").select(*docs.columns)
+    maps = any("map<" in f.dataType.simpleString() for f in docs.schema.fields)
+    whole = F.struct(*docs.columns)
+    first = F.min_by(whole, F.to_json(whole)) if maps else F.min(whole)
+    least = kept.join(repeated, key, "left_semi").groupBy(*key).agg(first.alias("row"))
+    return once.unionByName(least.select("row.*"))
+
+
+def _sized(documents: DataFrame) -> DataFrame:
+    """Ids and digests, to be broadcast if they are few."""
+    documents = materialize(documents, "digests-few")
+    return F.broadcast(documents) if documents.count() <= BROADCAST_IDS else documents

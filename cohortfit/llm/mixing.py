@@ -182,8 +182,11 @@ def sample(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """The sampled rows of ``docs`` with all their columns."""
-    rows = described(docs.where(F.col(id_col).isNotNull()), targets, columns, F.col(text_col))
+    """The sampled rows of ``docs`` with all their columns, whatever their names."""
+    named = docs.where(F.col(id_col).isNotNull())
+    row, text = F.struct(*docs.columns).alias("row"), F.col(text_col).alias("text")
+    whole = named.select(row, F.col(id_col).cast("long").alias("id"), text, *[columns[d].alias(d) for d in DIMENSIONS])
+    rows = described(whole, targets, {d: F.col(d) for d in DIMENSIONS}, F.col("text"))
     cells = materialize(calibrate(rake(cell_tokens(rows), targets), targets), "mix-cells")
-    chosen = uniform(targets, F.col(id_col).cast("long")) < F.col("__p")
-    return _with_cells(rows, cells).where(chosen).select(*docs.columns)
+    chosen = uniform(targets, F.col("id")) < F.col("__p")
+    return _with_cells(rows, cells).where(chosen).select("row.*")
