@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortfit.llm import byte_bpe, exact_index, jaccard, mixing, toxicity
-from cohortfit.llm.batches import materialize
+from cohortfit.llm.batches import materialize, unused
 from cohortfit.llm.queries import mix_columns, toxicity_chain
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -17,13 +17,17 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain flags go; rows without an id are no documents."""
     named = docs.where(F.col("doc_id").isNotNull())
-    rated = toxicity.classify(named, toxicity_chain(spark, named, sf_dir), out="__toxicity")
-    return rated.where(~F.col("__toxicity.flagged")).drop("__toxicity")
+    (out,) = unused(named, "toxicity")
+    rated = toxicity.classify(named, toxicity_chain(spark, named, sf_dir), out=out)
+    return rated.where(~F.col(out)["flagged"]).drop(out)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the largest id stays."""
-    return exact_index.keep_first_copies(docs, exact_index.DigestIndex.fresh(spark))
+    index = exact_index.DigestIndex.fresh(spark)
+    kept = exact_index.keep_first_copies(docs, index)
+    index.drop()
+    return kept
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
