@@ -1,12 +1,35 @@
-"""What a fit holds per row."""
+"""How often queries build their rows, and what a fit holds per row."""
 
+import functools
 import tracemalloc
 
 import numpy as np
 import pandas as pd
 
 from cohortfit.functions import boosting as B
+from cohortfit.operators.encode import encoder_stats
 from cohortfit.operators.fit import ROW_BYTES, GroupData
+from cohortfit.plans import catalog
+
+
+def test_categories_build_the_masked_orders_once(spark, sf, monkeypatch):
+    """However often the encoders read them: once for the sizes, once to be written."""
+    built, orders = spark.sparkContext.accumulator(0), catalog.masked_orders
+
+    def seen(batches):
+        for batch in batches:
+            built.add(batch.num_rows)
+            yield batch
+
+    def counted(spark, folder):
+        rows = orders(spark, folder)
+        return rows.mapInArrow(seen, rows.schema)
+
+    want = sorted(map(tuple, catalog.onehot_train_categories(spark, sf).collect()))
+    monkeypatch.setattr(catalog, "masked_orders", counted)
+    monkeypatch.setattr(catalog, "encoder_stats", functools.partial(encoder_stats, cells=200))  # medians by brackets
+    assert sorted(map(tuple, catalog.onehot_train_categories(spark, sf).collect())) == want
+    assert built.value <= 2 * orders(spark, sf).count()
 
 
 def test_a_fit_holds_few_bytes_a_row():
