@@ -8,12 +8,13 @@ copies of a stretch retain the same suffixes.
 1. The retained suffixes' beginnings are counted; those found in one text only go.
 2. The others get their context, ``WINDOW - 1`` word hashes on either side, and are dealt
    over ranges of (beginning, right context, left context, text) and sorted: the suffix
-   array. Ranges split a beginning that many texts share.
+   array. Ranges split a beginning that many texts share. A task walks its range in
+   pieces, so it holds one piece however long the range is.
 3. Suffixes next to each other with the same beginning form a run. Their matches are
    extended: for every split of LEAST words into a left and a right part, the run's
    members with equal parts share a stretch. So a passage is found with every partner,
-   not only with the nearest in the order. Where a range boundary cuts a run, the
-   stretches of its parts are joined across the ranges.
+   not only with the nearest in the order. Where the boundary of a range or piece cuts a
+   run, the stretches that may lie on both sides are joined across the pieces.
 4. Stretches of a text are merged to maximal spans.
 
 Texts equal but for case are one text until the end; their copies repeat as a whole.
@@ -40,6 +41,10 @@ LEAST = GRAM + WINDOW - 1
 SIDE = WINDOW - 1
 #: Positions that may be broadcast instead of shuffling texts for them.
 BROADCAST_POSITIONS = 200_000
+#: Suffixes of a range of the order, and of a piece of it that a task holds at a time (some 1 KB each).
+RANGE, PIECE = 1 << 16, 1 << 15
+#: Ranges at most, as the driver draws their bounds from some 300 suffixes each; beyond, ranges have more pieces.
+RANGES = 3_000
 
 
 def minimisers(part: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -137,84 +142,109 @@ def stretches(
     Yields that number, the suffixes ordered by the stretch's key and the text, the keys, the
     starts of the keys' runs and the lengths of these.
     """
-    rights, lefts = np.zeros((SIDE + 1, len(h)), U), np.zeros((SIDE + 1, len(h)), U)
+    rights, lefts = np.zeros(len(h), U), np.zeros(len(h), U)  # of the words that the stretch has on that side
     for k in range(SIDE):
-        rights[k + 1] = rights[k] + right[:, k].astype(U) * _ODD[k]
-        lefts[k + 1] = lefts[k] + left[:, k].astype(U) * _ODD[k + 1] * _ODD[0]
+        rights += right[:, k].astype(U) * _ODD[k]
     for a in range(SIDE + 1):
         b = SIDE - a
         whole = np.ones(len(h), bool)
         if a:
+            lefts += left[:, a - 1].astype(U) * _ODD[a] * _ODD[0]
+            rights -= right[:, b].astype(U) * _ODD[b]
             whole &= left[:, a - 1] > 0
         if b:
             whole &= right[:, b - 1] > 0
         rows = np.flatnonzero(whole)
         if not len(rows):
             continue
-        key = mix(h.view(U)[rows] ^ mix(lefts[a][rows] + mix(rights[b][rows])))
+        key = mix(h.view(U)[rows] ^ mix(lefts[rows] + mix(rights[rows])))
         order = np.lexsort((tag[rows], key))
         rows, key = rows[order], key[order]
         starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         yield a, rows, key, starts, np.diff(np.append(starts, len(key)))
 
 
-def _matched(sorted_suffixes: DataFrame) -> DataFrame:
-    """``tag, start, finish`` of stretches shared inside a range, and the stretches that may be shared across ranges.
+def _pieces(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.Table, bool, bool]]:
+    """Sorted suffixes in pieces of fewer than 3 * ``size``, cut between beginnings unless one fills a piece.
 
-    The latter are those of the range's first and last beginning, which other ranges may hold
-    too. They have a ``key``, and the least and largest text (``low, high``) that the range has
-    it in; ``tag, start, finish`` only where that is one text.
+    With every piece comes whether the run of its first, and that of its last beginning may go on outside.
+    """
+    held, n, inside = [], 0, True
+    for batch in batches:
+        for k in range(0, batch.num_rows, size):
+            held.append(batch.slice(k, size))
+            n += held[-1].num_rows
+            if n < size:
+                continue
+            table = pa.Table.from_batches(held).combine_chunks()
+            h = table.column("h").to_numpy()
+            over = int(np.searchsorted(h, h[-1]))  # the suffixes before the last run
+            end = over or n
+            yield table.slice(0, end), inside, not over
+            held, n, inside = table.slice(end).to_batches(), n - end, not over
+    if n:
+        yield pa.Table.from_batches(held), inside, True
+
+
+def _in_common(h: np.ndarray, right: np.ndarray, row: int) -> np.ndarray:
+    """How many words to the right every suffix has as the one at ``row`` does; -1 of another beginning."""
+    words = np.cumprod(right == right[row], axis=1, dtype=np.int8).sum(axis=1)
+    return np.where(h == h[row], words, -1)
+
+
+def _matched(sorted_suffixes: DataFrame, size: int = PIECE) -> DataFrame:
+    """``tag, start, finish`` of stretches shared inside a piece, and the stretches that may be shared across pieces.
+
+    In the order, suffixes of the same beginning and right words are together. So other pieces
+    may hold a stretch only if a cut run has its beginning and right words at the boundary.
+    Such stretches have a ``key``, and the least and largest text (``low, high``) that the piece
+    has it in; ``tag, start, finish`` only where that is one text.
     """
     names = ["tag", "start", "finish", "key", "low", "high"]
     schema = "tag long, start int, finish int, key long, low long, high long"
 
-    def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        if not held:
-            return
-        table = pa.Table.from_batches(held)
+    def matches(table: pa.Table, before: bool, after: bool) -> Iterator[pa.RecordBatch]:
         h, tag, place = (table.column(c).to_numpy() for c in ("h", "tag", "place"))
         right, left = (_side(table.column(c).to_pylist()) for c in ("right", "left"))
-        del held, table
-        edge = (h == h[0]) | (h == h[-1])
-        hit, split = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        cut = np.full(len(h), -1)  # stretches of at most this many words to the right may lie outside too
+        for row in [0] * before + [-1] * after:
+            cut = np.maximum(cut, _in_common(h, right, row))
+        hit = np.zeros((len(h), SIDE + 1), bool)
         for a, rows, key, starts, lengths in stretches(h, right, left, tag):
             low, high = tag[rows[starts]], tag[rows[starts + lengths - 1]]
-            several = low != high
-            found = rows[np.repeat(several, lengths)]
-            hit.append(found)
-            split.append(np.full(len(found), a))
-            known = starts[several & edge[rows[starts]]]
-            alone = np.flatnonzero(np.repeat(~several, lengths) & edge[rows])
-            if len(known):
-                ends = [pa.array(x[several & edge[rows[starts]]]) for x in (low, high)]
-                nothing = [pa.nulls(len(known), t) for t in (pa.int64(), pa.int32(), pa.int32())]
-                yield pa.RecordBatch.from_arrays([*nothing, pa.array(key[known].view(np.int64)), *ends], names)
+            several, edge = low != high, cut[rows] >= SIDE - a
+            hit[rows[np.repeat(several, lengths)], a] = True
+            known = several & edge[starts]
+            alone = np.flatnonzero(np.repeat(~several, lengths) & edge)
+            if known.any():
+                nothing = [pa.nulls(int(known.sum()), t) for t in (pa.int64(), pa.int32(), pa.int32())]
+                ends = [pa.array(x[known]) for x in (low, high)]
+                yield pa.RecordBatch.from_arrays([*nothing, pa.array(key[starts[known]].view(np.int64)), *ends], names)
             if len(alone):
                 own, start = pa.array(tag[rows[alone]]), place[rows[alone]] - a
                 span = [pa.array(start, pa.int32()), pa.array(start + LEAST, pa.int32())]
                 yield pa.RecordBatch.from_arrays([own, *span, pa.array(key[alone].view(np.int64)), own, own], names)
-        hit, split = np.concatenate(hit), np.concatenate(split)
-        if not len(hit):
-            return
-        order = np.lexsort((split, hit))
-        hit, split = hit[order], split[order]
-        new = np.ones(len(hit), bool)
-        new[1:] = (hit[1:] != hit[:-1]) | (split[1:] != split[:-1] + 1)
-        first = np.flatnonzero(new)
-        last = np.append(first[1:], len(hit)) - 1
-        start, finish = place[hit[first]] - split[last], place[hit[first]] + LEAST - split[first]
-        spans = [pa.array(tag[hit[first]]), pa.array(start, pa.int32()), pa.array(finish, pa.int32())]
-        yield pa.RecordBatch.from_arrays([*spans, *[pa.nulls(len(first), pa.int64())] * 3], names)
+        first, last = hit.copy(), hit.copy()  # of the splits in a row that are shared
+        first[:, 1:] &= ~hit[:, :-1]
+        last[:, :-1] &= ~hit[:, 1:]
+        (row, most), (_, least) = np.nonzero(last), np.nonzero(first)
+        if len(row):
+            start, finish = place[row] - most, place[row] + LEAST - least
+            spans = [pa.array(tag[row]), pa.array(start, pa.int32()), pa.array(finish, pa.int32())]
+            yield pa.RecordBatch.from_arrays([*spans, *[pa.nulls(len(row), pa.int64())] * 3], names)
+
+    def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in _pieces(batches, size):
+            yield from matches(*piece)
 
     return sorted_suffixes.mapInArrow(matched, schema)
 
 
 def _across(edges: DataFrame) -> DataFrame:
-    """The stretches that a range has in one text only, and another range in another text.
+    """The stretches that a piece has in one text only, and another piece in another text.
 
-    A range has at most one such text for a key, and one row for a key of several texts, so no
-    key is met by more rows than there are ranges (and repeats within a text).
+    A piece has at most one such text for a key, and one row for a key of several texts, so no
+    key is met by more rows than there are pieces (and repeats within a text).
     """
     shared = edges.groupBy("key").agg(F.min("low").alias("least"), F.max("high").alias("most")).where("least <> most")
     return edges.where("tag is not null").join(shared, "key", "left_semi").select("tag", "start", "finish")
@@ -262,7 +292,10 @@ def repeated_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     chosen = rows.join(F.broadcast(places) if few else places, "doc_id").select("text", "tag", "places")
     context = materialize(_contexts(chosen).distinct(), "suffix-contexts")
     keys = ["h", "right", "left", "tag", "place"]
-    matched = materialize(_matched(context.repartitionByRange(*keys).sortWithinPartitions(*keys)), "suffix-matches")
+    # By the count, as adaptive merging goes by bytes, and suffixes of one beginning take few when compressed.
+    ranges = min(-(-context.count() // RANGE), RANGES)
+    dealt = context.repartitionByRange(ranges, *keys) if ranges > 1 else context.repartitionByRange(*keys)
+    matched = materialize(_matched(dealt.sortWithinPartitions(*keys), PIECE), "suffix-matches")
     stretched = matched.where("key is null").select("tag", "start", "finish")
     stretched = stretched.unionByName(_across(matched.where("key is not null")))
     copied = one_of.where((F.col("copies") > 1) & (F.col("n_words") >= LEAST))
